@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.llm import bpe, mixing, quality, toxicity
+from maskwright.llm import bpe, chat, licenses, mixing, quality, spotsigs, toxicity
 from maskwright.llm.common import table, tune
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -28,6 +28,22 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    probe = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digest_conversations(chat.format_records(chat.turn_records(rows)))
+
+
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -1,6 +1,20 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-from maskwright.llm import mixing
+from maskwright.llm import licenses, mixing
+
+
+
+def _license_rows() -> str:
+    def quoted(x):
+        return "'" + x.replace("'", "''") + "'"
+
+    rows = []
+    for name, text in sorted(licenses.TEMPLATES.items()):
+        b = licenses.bigrams_of(text)
+        lo, hi = licenses.bounds(len(b))
+        rows.append(f"({quoted(name)}, [{', '.join(map(quoted, b))}], {lo}, {hi})")
+    return ",\n".join(rows)
+
 
 ORACLES = {
     "op5_mixing": rf"""
@@ -24,4 +38,15 @@ r AS (SELECT c.doc_id, c.size, t.source_size, t.target,
       FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source),
 e AS (SELECT *, (floor(n * r + {mixing.offset()}::DOUBLE) - floor((n - 1) * r + {mixing.offset()}::DOUBLE))::BIGINT AS copies FROM r)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM e""",
+    "op10_license_scan": f"""
+WITH t(name, bg, lo, hi) AS (VALUES {_license_rows()}),
+d AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text FROM documents),
+g AS (SELECT rn, unnest(list_concat(string_split(text, chr(10)), CASE WHEN contains(text, chr(10)) THEN [text] ELSE [] END)) AS seg FROM d),
+c AS (SELECT rn, string_split(trim(regexp_replace(translate(seg, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM g),
+b AS (SELECT rn, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS bg FROM c WHERE len(w) > 1),
+x AS (SELECT rn, name, 2.0::DOUBLE * len(list_intersect(b.bg, t.bg)) / (len(b.bg) + len(t.bg))::DOUBLE AS dice FROM b, t WHERE len(b.bg) BETWEEN lo AND hi),
+y AS (SELECT rn, arg_min(name, (-dice, name)) AS license, max(dice) AS dice, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses, count(*)::INTEGER AS n_matches
+      FROM x WHERE dice >= 0.75 GROUP BY rn)
+SELECT d.doc_id, y.license, coalesce(y.dice, 0.0::DOUBLE) AS dice, coalesce(y.licenses, '') AS licenses, coalesce(y.n_matches, 0)::INTEGER AS n_matches
+FROM d LEFT JOIN y USING (rn)""",
 }
