@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from maskwright.session import ship_package
+
 #: Rows of one Arrow batch; whole texts can be long.
 ARROW_ROWS = 1000
 
@@ -18,7 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tune(spark: SparkSession) -> None:
-    """Keep Arrow batches of texts small; a value that the user chose stays."""
+    """Send the code to the executors and keep Arrow batches of texts small; a batch size that the user chose stays."""
+    ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) == 10000:
         spark.conf.set(key, str(ARROW_ROWS))
