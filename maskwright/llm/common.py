@@ -149,10 +149,10 @@ def shingles(column, width: int = 5) -> list[np.ndarray]:
             if b - a >= width:
                 out.append(np.unique(grams[a : b - width + 1]))
             elif b > a:
-                short = np.uint64(b - a)
+                short = np.array([b - a], np.uint64)
                 for j in range(b - a):
-                    short = mix(np.array([short + words[a + j] * _STEP[j % 5]], np.uint64))[0]
-                out.append(np.array([short], np.uint64))
+                    short = mix(short + words[a + j : a + j + 1] * _STEP[j % 5])
+                out.append(short)
             else:
                 out.append(np.empty(0, np.uint64))
         k = top

@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.llm import bpe, chat, licenses, mixing, neardup, quality, spotsigs, toxicity
+from maskwright.llm import bpe, chat, jaccard, licenses, mixing, neardup, quality, spotsigs, toxicity
 from maskwright.llm.common import table, tune
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return jaccard.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
