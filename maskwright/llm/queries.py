@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskwright.llm import bpe, chat, jaccard, licenses, mixing, neardup, quality, spotsigs, toxicity
+from maskwright.llm import bpe, chat, jaccard, licenses, mixing, neardup, quality, spotsigs, suffixes, toxicity
 from maskwright.llm.common import table, tune
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,11 @@ def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return suffixes.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
