@@ -322,7 +322,7 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     rows = cut(_runs_of(chosen.select("doc_id", "text", "hs")))
     contents = _merged(rows.withColumnRenamed("h", "key"))
-    hits = _hits(contents)
+    hits = cut(_hits(contents))
 
     def spread(batches):
         for batch in batches:
