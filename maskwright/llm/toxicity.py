@@ -29,11 +29,12 @@ ROWS = 1 << 16
 #: A word is the sum of the table rows of itself and of its first so many bytes.
 PARTS = (1 << 30, 4, 5)
 DIM = 12
+INIT = 0.02
 WIDTHS = (1, 2, 3)
 FILTERS = 10
 EPOCHS = 10
 #: Table rows that fewer documents of the sample have are not learned.
-LEAST_DOCS = 8
+LEAST_DOCS = 3
 RARE = 0
 THRESHOLD = 0.3
 MODULUS, HELD_OUT = 4, 2
@@ -66,7 +67,7 @@ class ToxicityNet:
 
     def __init__(self, seed: int = 0):
         rng = np.random.default_rng(seed)
-        self.emb = rng.normal(0, 0.1, (ROWS, DIM))
+        self.emb = rng.normal(0, INIT, (ROWS, DIM))
         self.conv = [rng.normal(0, 0.3, (w, DIM, FILTERS)) for w in WIDTHS]
         self.bias = [np.zeros(FILTERS) for _ in WIDTHS]
         self.out = rng.normal(0, 0.1, len(WIDTHS) * FILTERS)
@@ -96,6 +97,8 @@ class ToxicityNet:
         self.emb[RARE] = 0
         rng = np.random.default_rng(seed)
         held = rng.random(len(docs)) < 0.25  # for calibration only
+        # both labels weigh the same, however many documents have them
+        weight = 0.5 / (1 - y.mean()), 0.5 / y.mean()
         params = [self.emb, *self.conv, *self.bias, self.out]
         accum = [np.full(p.shape, 0.05) for p in params]
         accum_b = 0.05
@@ -107,7 +110,7 @@ class ToxicityNet:
                 feats, where = self._pool(words)
                 keep = (rng.random(len(feats)) > 0.2) / 0.8
                 z = float(feats * keep @ self.out + self.out_bias)
-                err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[i]
+                err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[i]) * weight[int(y[i])]
                 g_out = err * feats * keep + 1e-5 * self.out
                 back = err * self.out * keep * (feats > 0)
                 accum_b += err * err
