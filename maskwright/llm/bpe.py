@@ -20,6 +20,7 @@ import base64
 import hashlib
 from array import array
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -178,12 +179,12 @@ def encode_decode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "
                 n.append(len(enc) // 4)
                 digest.append(hashlib.sha256(enc).hexdigest())
                 back.append(hashlib.sha256(tool.decode(enc)).hexdigest())
-                raw.append(enc if keep_ids else None)
+                raw.append(np.frombuffer(enc, np.int32) if keep_ids else None)
             columns = [ids, pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(back, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                columns.append(pa.array(raw, pa.binary()))
+                columns.append(pa.array(raw, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA + (", ids binary" if keep_ids else ""))
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA + (", ids array<int>" if keep_ids else ""))
