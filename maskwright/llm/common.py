@@ -6,8 +6,10 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from maskwright.session import ship_package
 
@@ -162,14 +164,45 @@ def shingles(column, width: int = 5) -> list[np.ndarray]:
 # --- connected components ------------------------------------------------------------------------
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+#: Up to this many edges (16 bytes each) components are found in one task.
+LOCAL_EDGES = 400_000
+
+
+def components(edges: DataFrame, rounds: int = 60, local: int = LOCAL_EDGES) -> DataFrame:
     """Smallest id reachable from each id of edges(a, b): rows (id, component).
 
-    Alternates large-star and small-star steps, each one aggregation on the node's id, so a hub
-    costs a row per neighbour and nothing is gathered. Every round's edges are written to the
-    shared folder. Raises if they have not settled after the given rounds.
+    So few edges that they surely fit a task's memory are united there. Any number beyond takes
+    large-star and small-star steps in turn, each one aggregation on the node's id, so a hub costs
+    a row per neighbour and nothing is gathered; every round's edges are written to the shared
+    folder. Raises if they have not settled after the given rounds.
     """
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    kind = e.schema["u"].dataType
+    if e.count() <= local:
+
+        def unite(batches):
+            root: dict = {}
+
+            def find(x):
+                top = x
+                while root.setdefault(top, top) != top:
+                    top = root[top]
+                while root[x] != top:
+                    root[x], x = top, root[x]
+                return top
+
+            for batch in batches:
+                for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    u, v = find(u), find(v)
+                    if u != v:
+                        root[max(u, v)] = min(u, v)
+            ids = list(root)
+            kinds = to_arrow_type(kind)
+            for k in range(0, len(ids), 50_000):
+                part = ids[k : k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, kinds), pa.array([find(x) for x in part], kinds)], ["id", "component"])
+
+        return cut(e.coalesce(1).mapInArrow(unite, f"id {kind.simpleString()}, component {kind.simpleString()}"))
     before = None
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -178,14 +211,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: neighbours not above u point to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("s"))
-            .select("s.u", "s.v")
-            .filter("u <> v")
-            .distinct()
-        )
-        new = cut(small)
+        pairs = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))
+        new = cut(large.join(least, "u").select(F.explode(pairs).alias("s")).select("s.u", "s.v").filter("u <> v").distinct())
         state = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         drop_cut(e)
         e = new

@@ -8,10 +8,12 @@ least similarity of 0.75 two documents link if d <= 0.25 = E. The steps:
    and a class links only if at least three quarters of its shingles are shared with others; the
    rest is done. (Copies only raise counts, which keeps more classes than needed.)
 3. Linked classes share one of the rarest n - ceil(0.75 n) + 1 shingles of each, by (frequency,
-   hash). The classes that have a shingle there are brought to its pivot, the class among them
-   with the least hash, and their exact distances to it are taken. Classes of one pivot are a region.
-   Those within E of the pivot link to it.
-4. Regions in which everything is connected already are done. Others are joined recursively: new
+   hash). The pivot of a shingle is the class with the least hash that has it there. Each class
+   meets the least of its shingles' pivots, which settles most copies. Then the classes of every
+   shingle that aren't all connected yet are brought to its pivot, with their exact distances to
+   it; those within E link to it. Classes of one pivot are a region.
+4. A member goes on only if one of another component lies within its windows: distances to the
+   pivot that differ by E at most, and a size that allows a link. The rest is joined recursively: new
    pivots are drawn from the members; each member belongs to the Voronoi cell of its nearest
    pivot and is also put into the cells of earlier pivots p with
    d(x, p) <= d(x, nearest) + 2E, as only those can hold partners of it. Cells are regions again.
@@ -21,7 +23,7 @@ least similarity of 0.75 two documents link if d <= 0.25 = E. The steps:
    rounds, joined like this too, in pairs of blocks dealt over tasks.
 
 Nothing is dropped on the way, and no cap applies. Distances and links are exact; shingles are compared
-by 48-bit hashes.
+by 48-bit hashes, classes by 64 bits of their sets' digests.
 
 Null texts and texts without words have no shingles and link with nothing. A text of fewer words
 than a shingle is one shingle. Repeated rows are equal documents. An empty table gives no rows.
@@ -32,19 +34,20 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import components, cut, shingles
+from maskwright.llm.common import components, cut, shared_dir, shingles
 
 WIDTH = 5
 E = 0.25
 #: Tokens of a map block and of a count bucket (bounds memory of a task, not of the input).
-BLOCK_TOKENS = 1_200_000
-BUCKET_TOKENS = 3_000_000
+BLOCK_TOKENS = 800_000
+BUCKET_TOKENS = 1_500_000
 #: Members of a region that are compared outright, pivots drawn per larger region, rounds.
 BLOCK = 256
 PIVOTS = 8
@@ -56,15 +59,19 @@ def linked(both: int, a: int, b: int) -> bool:
 
 
 def document_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, and the digest of the shingle set (null for an empty set)."""
+    """doc_id, n_shingles, and the class id: 64 bits of the set's digest (null for an empty set)."""
 
     def run(batches):
         for batch in batches:
             sets = shingles(batch.column(1), width)
-            digest = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary())], ["doc_id", "n_shingles", "set_id"])
+            digest = [class_id(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.int64())], ["doc_id", "n_shingles", "set_id"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_id binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_id long")
+
+
+def class_id(s: np.ndarray) -> int:
+    return int.from_bytes(hashlib.md5(s.tobytes()).digest()[:8], "little", signed=True)
 
 
 def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
@@ -88,12 +95,10 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
             nonlocal held, tokens, seen, number
             block = part * 1_000_000 + number
             number += 1
-            table = np.zeros(len(held), [("n", np.uint32), ("set", "S16")])
             n = np.array([len(s) for s, _ in held], np.uint32)
-            digests = b"".join(d for _, d in held)
+            digests = np.array([d for _, d in held], np.int64).tobytes()
             flat = np.concatenate([s for s, _ in held])
             doc = np.repeat(np.arange(len(held), dtype=np.uint16), n)
-            del table
             top = (flat >> np.uint64(48)).astype(np.uint16)
             order = np.argsort(top, kind="stable")
             per = np.bincount(top, minlength=65536)
@@ -116,7 +121,7 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
 
         for batch in batches:
             for s in shingles(batch.column(0), width):
-                digest = hashlib.md5(s.tobytes()).digest()
+                digest = class_id(s)
                 if len(s) and digest not in seen:
                     seen.add(digest)
                     held.append((s, digest))
@@ -143,7 +148,7 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
         rows = {"block": [b for b, _ in known], "docs": [d for _, d in known], "token": [None] * len(known), "doc": [None] * len(known), "grade": [None] * len(known)}
         if blocks:
             token = np.concatenate(tops) | np.concatenate(lows)
-            source = np.repeat(np.arange(len(blocks)), sizes)
+            source = np.repeat(np.arange(len(blocks), dtype=np.int32), sizes)
             doc = np.concatenate(docs_)
             order = np.argsort(token, kind="stable")
             token, source, doc = token[order], source[order], doc[order]
@@ -170,12 +175,12 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
         return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
 
     def choose(table: pa.Table) -> pa.Table:
-        n, digests, tokens, docs_, grades = None, b"", [], [], []
+        n, ids, tokens, docs_, grades = None, None, [], [], []
         for d, t, doc, g in zip(*(table.column(x) for x in ("docs", "token", "doc", "grade"))):
             if d.is_valid:
                 raw = d.as_py()
-                m = len(raw) // 20
-                n, digests = np.frombuffer(raw[: 4 * m], np.uint32), raw[4 * m :]
+                m = len(raw) // 12
+                n, ids = np.frombuffer(raw, np.uint32, m), np.frombuffer(raw[4 * m :], np.int64)
             else:
                 doc, raw = np.frombuffer(doc.as_buffer(), np.uint16), t.as_buffer()
                 m = len(doc)
@@ -196,22 +201,27 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
                 mine, size = token[at[i] : at[i + 1]], int(n[i])
                 keep = size // 4 + 1 - (size - len(mine))
                 if keep > 0:
-                    rows["set_id"].append(digests[16 * i : 16 * i + 16])
+                    rows["set_id"].append(int(ids[i]))
                     rows["n"].append(size)
                     rows["prefix"].append(mine[:keep].astype(np.int64))
                     rows["tokens"].append(np.sort(mine).tobytes())
-        types = [pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
         return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
 
     spread_out = docs.select("text").mapInArrow(spread, out_schema)
     back = spread_out.groupBy("bucket").applyInArrow(count, "block long, docs binary, token binary, doc binary, grade binary")
-    return back.groupBy("block").applyInArrow(choose, "set_id binary, n long, tokens binary, prefix array<long>").dropDuplicates(["set_id"])
+    return back.groupBy("block").applyInArrow(choose, "set_id long, n long, tokens binary, prefix array<long>").dropDuplicates(["set_id"])
 
 
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs(x, p) with their distance d and whether they link."""
+    """pairs(x, p) with their distance d, whether they link, and the size of x.
+
+    sets is bucketed by set_id, so only the pairs move to it; the shingles of x then move to p,
+    with those of the pivots alone, as a join whose hot pivots Spark can split.
+    """
     a = sets.select(F.col("set_id").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("tx"))
     b = sets.select(F.col("set_id").alias("p"), F.col("n").alias("np"), F.col("tokens").alias("tp"))
+    pivots = pairs.select("p").distinct().join(b, "p")
 
     def run(batches):
         for batch in batches:
@@ -219,9 +229,19 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             both = [_both(a.as_buffer(), b.as_buffer()) for a, b in zip(tx, tp)]
             d = [1 - k / (m + n - k) for k, m, n in zip(both, nx.to_pylist(), np_.to_pylist())]
             link = [linked(k, m, n) for k, m, n in zip(both, nx.to_pylist(), np_.to_pylist())]
-            yield pa.RecordBatch.from_arrays([x, p, pa.array(d, pa.float64()), pa.array(link, pa.bool_())], ["x", "p", "d", "link"])
+            yield pa.RecordBatch.from_arrays([x, p, nx, pa.array(d, pa.float64()), pa.array(link, pa.bool_())], ["x", "p", "n", "d", "link"])
+
+    return pairs.join(a, "x").join(pivots, "p").select("x", "p", "nx", "np", "tx", "tp").mapInArrow(run, "x long, p long, n long, d double, link boolean")
 
-    return pairs.join(a, "x").join(b, "p").select("x", "p", "nx", "np", "tx", "tp").mapInArrow(run, "x binary, p binary, d double, link boolean")
+
+def _bucketed(sets: DataFrame) -> tuple[DataFrame, str]:
+    """sets as a table bucketed by set_id in the shared folder, and the table's name."""
+    spark = sets.sparkSession
+    name = f"mw_sets_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = sets.repartition(n, "set_id").write.bucketBy(n, "set_id").option("path", f"{shared_dir(spark)}/{name}")
+    writer.format("parquet").saveAsTable(name)
+    return spark.table(name), name
 
 
 def _both(a, b) -> int:
@@ -235,6 +255,20 @@ def _both(a, b) -> int:
     return int((b[at] == a).sum())
 
 
+def _in_windows(members: DataFrame) -> DataFrame:
+    """Members(region, x, comp, d, n) that a member of another component may link with.
+
+    By the triangle inequality partners' distances to the pivot differ by E at most, and their
+    sizes by a factor of 4/3; so with bins of these widths a partner is in the same or the next bin.
+    """
+    binned = members.withColumns({"db": F.floor((F.col("d") + 1e-12) / E).cast("int"), "sb": F.floor(F.log(F.col("n").cast("double")) / math.log(4 / 3) + 1e-9).cast("int")})
+    spans = binned.groupBy("region", "db", "sb").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    near = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    around = spans.select("region", "db", "sb", "lo", "hi", F.explode(near).alias("i")).select("region", (F.col("db") + F.col("i")).alias("db"), "sb", "lo", "hi", F.explode(near).alias("j"))
+    around = around.groupBy("region", "db", (F.col("sb") + F.col("j")).alias("sb")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi")
+    return binned.join(around.select("region", "db", "sb"), ["region", "db", "sb"]).drop("db", "sb")
+
+
 def _joined_outright(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (x, p) between members(region, x, comp, d) of different components, found in blocks of a region."""
     sized = members.join(members.groupBy("region").agg(F.count("*").alias("size")), "region")
@@ -257,14 +291,14 @@ def _joined_outright(members: DataFrame, sets: DataFrame) -> DataFrame:
             yield _edges(out)
         yield _edges(_block(group))
 
-    return rows.mapInArrow(run, "x binary, p binary")
+    return rows.mapInArrow(run, "x long, p long")
 
 
 def _edges(rows):
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["x", "p"])
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], ["x", "p"])
 
 
-def _block(group) -> list[tuple[bytes, bytes]]:
+def _block(group) -> list[tuple[int, int]]:
     """Links that join components within one pair of blocks."""
     out, root = [], {}
 
@@ -290,33 +324,43 @@ def _block(group) -> list[tuple[bytes, bytes]]:
 
 def similarity_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id for every document."""
+    spark = docs.sparkSession
     found = cut(document_sets(docs, width))
     total = found.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    sets = cut(_shared_shingles(docs, total, width))
+    sets, name = _bucketed(_shared_shingles(docs, total, width))
 
-    # regions: the classes that share a rare shingle, around its pivot
+    # each class meets the least pivot of its rare shingles first; ids are hashes, so the least is any
     posts = sets.select(F.col("set_id").alias("x"), F.explode("prefix").alias("t"))
-    tops = posts.groupBy("t").agg(F.count("*").alias("k"), F.min_by("x", F.struct(F.xxhash64("x"), "x")).alias("p")).filter("k > 1").select("t", "p")
-    pairs = posts.join(tops, "t").filter("x <> p").select("x", "p").distinct()
+    tops = posts.groupBy("t").agg(F.count("*").alias("k"), F.min("x").alias("p")).filter("k > 1").select("t", "p")
+    posts = cut(posts.join(tops, "t"))
+    first = posts.groupBy("x").agg(F.min("p").alias("p")).filter("x <> p")
+    links = cut(_distances(first, sets).filter("link").select("x", "p"))
+
+    # regions: the classes that share a rare shingle, around its pivot, where some aren't connected yet
+    comp = components(links.select(F.col("x").alias("a"), F.col("p").alias("b")))
+    known = posts.join(comp.withColumnRenamed("id", "x"), "x", "left").withColumn("comp", F.coalesce("component", "x"))
+    open_ = known.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("t")
+    pairs = posts.join(open_, "t").filter("x <> p").select("x", "p").distinct()
     near = cut(_distances(pairs, sets))
-    links = near.filter("link").select("x", "p")
-    members = near.select(F.xxhash64("p").alias("region"), "x", "d")
+    links = links.unionByName(near.filter("link").select("x", "p"))
+    members = near.select(F.xxhash64("p").alias("region"), "x", "d", "n")
 
     for turn in range(ROUNDS + 1):
-        comp = cut(components(links.select(F.col("x").alias("a"), F.col("p").alias("b"))))
+        comp = components(links.select(F.col("x").alias("a"), F.col("p").alias("b")))
         labelled = members.join(comp.withColumnRenamed("id", "x"), "x", "left").withColumn("comp", F.coalesce("component", "x")).drop("component")
-        state = labelled.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo <> hi")
-        active = cut(labelled.join(state.select("region", "size"), "region"))
+        active = _in_windows(labelled)
+        active = cut(active.join(active.groupBy("region").agg(F.count("*").alias("size")), "region"))
         small = active if turn == ROUNDS else active.filter(F.col("size") <= BLOCK)
         more = [_joined_outright(small.select("region", "x", "comp", "d"), sets)]
         large = active.filter(F.col("size") > BLOCK) if turn < ROUNDS else None
         rest = 0 if large is None else large.count()
         if rest:
+            large = large.drop("comp")
             drawn = F.pmod(F.xxhash64("x", "region", F.lit(turn)), F.col("size")) < PIVOTS
             pivots = large.filter(drawn).select("region", F.col("x").alias("p"))
             cells = cut(large.select("region", "x").join(pivots, "region").filter("x <> p"))
             dist = cut(_distances(cells.select("x", "p").distinct(), sets))
-            cells = cells.join(dist, ["x", "p"])
+            cells = cells.join(dist.select("x", "p", "d", "n"), ["x", "p"])
             more.append(dist.filter("link").select("x", "p"))
             home = cells.groupBy("region", "x").agg(F.min(F.struct("d", "p")).alias("home"))
             cells = cells.join(home, ["region", "x"]).join(pivots.select("region", F.col("p").alias("x")), ["region", "x"], "left_anti")
@@ -326,11 +370,11 @@ def similarity_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             grown = split.groupBy("region").agg(F.count("*").alias("cells"), F.countDistinct("x").alias("was"))
             split = split.join(grown, "region")
             # a region that its cells don't divide stays one region, less its pivots
-            child = split.filter("cells <= 2 * was").select(F.xxhash64("region", "p").alias("region"), "x", "d")
+            child = split.filter("cells <= 2 * was").select(F.xxhash64("region", "p").alias("region"), "x", "d", "n")
             whole = split.filter("cells > 2 * was").filter(mine).join(pivots.groupBy("region").agg(F.min("p").alias("one")), "region")
-            whole = whole.join(dist.select("x", F.col("p").alias("one"), F.col("d").alias("to_one")), ["x", "one"]).select("region", "x", F.col("to_one").alias("d"))
+            whole = whole.join(dist.select("x", F.col("p").alias("one"), F.col("d").alias("to_one")), ["x", "one"]).select("region", "x", F.col("to_one").alias("d"), "n")
             # regions for which no pivot was drawn stay as they are
-            none = large.select("region", "x", "d").join(pivots.select("region").distinct(), "region", "left_anti")
+            none = large.select("region", "x", "d", "n").join(pivots.select("region").distinct(), "region", "left_anti")
             members = cut(child.unionByName(whole).unionByName(none))
         new = more[0]
         for m in more[1:]:
@@ -344,6 +388,7 @@ def similarity_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     a = classes.select(F.col("set_id").alias("x"), F.col("rep").alias("a"))
     b = classes.select(F.col("set_id").alias("p"), F.col("rep").alias("b"))
     comp = components(links.join(a, "x").join(b, "p").select("a", "b"))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files are the shared folder's
     reps = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
     return found.join(reps, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
