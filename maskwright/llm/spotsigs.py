@@ -37,7 +37,7 @@ QUANTILES = 64
 
 _STOP = "(?:" + "|".join(sorted(set(ANCHORS), key=lambda w: (-len(w), w))) + ")"
 _SKIP = rf"(?:{_STOP}\s++)*+"
-_SPOT = rf"(?<!\S)(?=({_STOP}(?:\s++{_SKIP}\S++){{{CHAIN}}}))"
+_SPOT = rf"(?<!\S)(?=({_STOP}(?:\s++{_SKIP}(?!{_STOP}(?!\S))\S++){{{CHAIN}}}))"
 _BETWEEN = rf"(?<=\s){_STOP}\s++(?=\S)"
 
 

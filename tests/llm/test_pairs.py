@@ -60,6 +60,7 @@ def test_jaccard_join(spark):
 
 def test_jaccard_join_recursive(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 3)
+    monkeypatch.setattr(jaccard, "OUTRIGHT", 4)
     monkeypatch.setattr(jaccard, "PIVOTS", 2)
     monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 500)
     monkeypatch.setattr(jaccard, "BUCKET_TOKENS", 300)
