@@ -221,4 +221,5 @@ def components(edges: DataFrame, rounds: int = 60, local: int = LOCAL_EDGES) ->
         before = state
     else:
         raise RuntimeError("components did not settle")
-    return e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
+    roots = e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    return e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id").unionByName(roots)

@@ -17,7 +17,7 @@ least similarity of 0.75 two documents link if d <= 0.25 = E. The steps:
    pivots are drawn from the members; each member belongs to the Voronoi cell of its nearest
    pivot and is also put into the cells of earlier pivots p with
    d(x, p) <= d(x, nearest) + 2E, as only those can hold partners of it. Cells are regions again.
-5. A region of at most BLOCK members is joined outright, without emitting pairs: members of
+5. A region of at most OUTRIGHT members is joined outright, without emitting pairs: members of
    different components are compared if |d(x, p) - d(y, p)| <= E and their sizes allow a link.
    Regions that Voronoi cells can't divide (all members far from each other) are, after ROUNDS
    rounds, joined like this too, in pairs of blocks dealt over tasks.
@@ -48,10 +48,12 @@ E = 0.25
 #: Tokens of a map block and of a count bucket (bounds memory of a task, not of the input).
 BLOCK_TOKENS = 800_000
 BUCKET_TOKENS = 1_500_000
-#: Members of a region that are compared outright, pivots drawn per larger region, rounds.
+#: Members of a block, and of a region that is compared outright, in pairs of blocks; pivots drawn
+#: in a larger region, and rounds of that.
 BLOCK = 256
+OUTRIGHT = 2048
 PIVOTS = 8
-ROUNDS = 4
+ROUNDS = 3
 
 
 def linked(both: int, a: int, b: int) -> bool:
@@ -350,9 +352,9 @@ def similarity_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         labelled = members.join(comp.withColumnRenamed("id", "x"), "x", "left").withColumn("comp", F.coalesce("component", "x")).drop("component")
         active = _in_windows(labelled)
         active = cut(active.join(active.groupBy("region").agg(F.count("*").alias("size")), "region"))
-        small = active if turn == ROUNDS else active.filter(F.col("size") <= BLOCK)
+        small = active if turn == ROUNDS else active.filter(F.col("size") <= OUTRIGHT)
         more = [_joined_outright(small.select("region", "x", "comp", "d"), sets)]
-        large = active.filter(F.col("size") > BLOCK) if turn < ROUNDS else None
+        large = active.filter(F.col("size") > OUTRIGHT) if turn < ROUNDS else None
         rest = 0 if large is None else large.count()
         if rest:
             large = large.drop("comp")
@@ -394,6 +396,12 @@ def similarity_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """docs with one document of each component: the one whose id names it (of rows with equal ids, all equal texts but one go)."""
+    """docs with one document of each component: the one whose id names it.
+
+    Rows of that id with equal texts are one document; those with different texts stay, as do rows
+    without an id.
+    """
     kept = similarity_classes(docs, width).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    # the ids are dealt out for the join already, so this costs a sort only
+    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
