@@ -423,11 +423,11 @@ def matchers_agree(spark, sf):
     return matching.agree(fast, slow).select("video_id", "camera_id", r6(F.col("score"), "score"))
 
 
-@query("WITH " + _NCC + _FAST + " SELECT i.vec_id AS video_id, coalesce(fb.camera_id, nb.camera_id) AS camera_id, round(coalesce(fb.score, nb.score, 0.0), 6) AS score FROM im i LEFT JOIN (SELECT * FROM fb WHERE video_id % 3 = 0) fb ON fb.video_id = i.vec_id LEFT JOIN (SELECT * FROM nb WHERE video_id % 3 < 2) nb ON nb.video_id = i.vec_id")
+@query("WITH " + _NCC + _FAST + " SELECT i.vec_id AS video_id, coalesce(fb.camera_id, nb.camera_id) AS camera_id, round(coalesce(fb.score, nb.score, 0.0), 6) AS score FROM im i LEFT JOIN (SELECT * FROM fb WHERE score >= 0.5) fb ON fb.video_id = i.vec_id LEFT JOIN (SELECT * FROM nb WHERE score >= 0.2) nb ON nb.video_id = i.vec_id")
 def force_best_match(spark, sf):
     v = A.gray_images(spark, sf).select(F.col("image_id").alias("video_id"))
-    fast = matching.top_with_margin(_fast_scores(spark, sf)).filter("video_id % 3 = 0")
-    slow = matching.top_with_margin(ncc_scores(spark, sf).withColumn("score", F.round("score", 9))).filter("video_id % 3 < 2")
+    fast = matching.accept(matching.top_with_margin(_fast_scores(spark, sf)), 0.5, 0.0)
+    slow = matching.top_with_margin(ncc_scores(spark, sf).withColumn("score", F.round("score", 9))).filter("score >= 0.2")
     return matching.force_best(v, fast, slow).select("video_id", "camera_id", r6(F.col("score"), "score"))
 
 
@@ -437,7 +437,7 @@ def area_weighted_score(spark, sf):
     return matching.area_mean(d).select("video_id", "camera_id", r6(F.col("score"), "score"))
 
 
-@query("WITH " + _LINKS + """, j AS (SELECT v.video_id, v.stem, v.ext, v.width, v.height, c.camera_id, c.image_width, c.image_height, c.boxes FROM fil v LEFT JOIN cam c ON c.camera_no = v.group_id AND v.group_id % 5 <> 0),
+@query("WITH " + _LINKS + """, j AS (SELECT v.video_id, v.stem, v.ext, v.width, v.height, c.camera_id, c.image_width, c.image_height, c.boxes FROM fil v LEFT JOIN cam c ON c.camera_no = v.group_id),
 u AS (SELECT *, unnest(range(1, 3)) AS k, width::DOUBLE / image_width AS sx, height::DOUBLE / image_height AS sy FROM j WHERE camera_id IS NOT NULL),
 b AS (SELECT video_id, width, k, greatest(0, least(width, round_even(boxes[k].x1 * sx, 0) - 6))::INTEGER AS x1, greatest(0, least(height, round_even(boxes[k].y1 * sy, 0) - 6))::INTEGER AS y1,
  greatest(0, least(width, round_even(boxes[k].x2 * sx, 0) + 6))::INTEGER AS x2, greatest(0, least(height, round_even(boxes[k].y2 * sy, 0) + 6))::INTEGER AS y2 FROM u),
@@ -450,17 +450,17 @@ g AS (SELECT video_id, '[0:v]split=' || (max(n) + 1) || '[base]' || string_agg('
 SELECT j.video_id, j.camera_id, filter_graph, j.stem || '_masked' || j.ext AS output_name, CASE WHEN filter_graph IS NULL THEN 'passthrough' ELSE 'masked' END AS status FROM j LEFT JOIN g USING (video_id)""")
 def overlay_jobs(spark, sf):
     v, c = A.videos(spark, sf), A.cameras(spark, sf)
-    m = v.join(F.broadcast(c.select("camera_id", "camera_no")), (F.col("group_id") == F.col("camera_no")) & (F.col("group_id") % 5 != 0)).select("video_id", "camera_id")
-    return steps.overlay_jobs(v, m, c, config.OverlayConfig()).drop("scaled")
+    m = v.join(F.broadcast(c.select("camera_id", "camera_no")), F.col("group_id") == F.col("camera_no")).select("video_id", "camera_id")
+    return steps.overlay_jobs(v, m, c, config.OverlayConfig()).drop("scaled", "path")
 
 
-@query("WITH " + _LINKS + ", m AS (SELECT video_id FROM vid WHERE group_id % 5 <> 0) SELECT video_id, path FROM vid WHERE video_id NOT IN (SELECT video_id FROM m)")
+@query("WITH " + _LINKS + " SELECT video_id, path FROM vid WHERE NOT EXISTS (SELECT 1 FROM cam WHERE camera_no = group_id)")
 def unmatched_videos(spark, sf):
-    v = A.videos(spark, sf)
-    return v.join(v.filter("group_id % 5 <> 0").select("video_id"), "video_id", "left_anti").select("video_id", "path")
+    v, c = A.videos(spark, sf), A.cameras(spark, sf)
+    return v.join(F.broadcast(c.select("camera_no")), F.col("group_id") == F.col("camera_no"), "left_anti").select("video_id", "path")
 
 
-@query("WITH " + A.MAPPING_SQL + ", j AS (SELECT to_json(map_from_entries(list((key, camera_id || '.json') ORDER BY key))) AS js FROM map) SELECT key, camera_id FROM map")
+@query("WITH " + A.MAPPING_SQL + " SELECT key, camera_id FROM map")
 def mapping_parse(spark, sf):
     packed = A.mapping(spark, sf).groupBy(F.hash("key") % 4).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("key", F.concat("camera_id", F.lit(".json")))))).alias("value"))
     return packed.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "camera_id")).withColumn("camera_id", F.regexp_replace("camera_id", r"\.json$", ""))
@@ -480,12 +480,19 @@ def shard_weights(spark, sf):
     return A.shard_items(spark, sf).select("item_id", "weight")
 
 
-@query()
+_SHARDS = """WITH RECURSIVE items AS (SELECT p_partkey AS item_id, p_size::BIGINT * (p_partkey % 5 + 1) * 1000 AS weight FROM part),
+ranked AS (SELECT *, row_number() OVER (ORDER BY weight DESC, item_id) AS n FROM items),
+dealt AS (SELECT 0::BIGINT AS n, NULL::BIGINT AS item_id, NULL::BIGINT AS weight, NULL::INTEGER AS shard_id, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[] AS loads
+ UNION ALL SELECT r.n, r.item_id, r.weight, (list_position(loads, list_min(loads)) - 1)::INTEGER,
+ list_transform(range(1, 9), lambda i: (loads[i] + CASE WHEN i = list_position(loads, list_min(loads)) THEN r.weight ELSE 0 END)::BIGINT) FROM dealt d JOIN ranked r ON r.n = d.n + 1)"""
+
+
+@query(_SHARDS + " SELECT item_id, weight, shard_id FROM dealt WHERE n > 0")
 def balanced_shards(spark, sf):
     return sharding.assign_shards(A.shard_items(spark, sf), 8)
 
 
-@query()
+@query(_SHARDS + " SELECT shard_id, sum(weight)::BIGINT AS weight, count(*) AS items FROM dealt WHERE n > 0 GROUP BY shard_id")
 def shard_totals(spark, sf):
     return sharding.assign_shards(A.shard_items(spark, sf), 8).groupBy("shard_id").agg(F.sum("weight").alias("weight"), F.count("*").alias("items"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.config import CAR_PLATES, TRUCK_PLATES, FaceConfig
@@ -48,12 +48,20 @@ def overlay_jobs(videos: DataFrame, matches: DataFrame, cameras: DataFrame, cfg,
     j = j.withColumn("scaled", F.coalesce(scaled, F.array().cast("array<struct<x1:int,y1:int,x2:int,y2:int>>")))
     graph = F.when(F.size("scaled") > 0, G.filter_graph(F.col("scaled"), cfg.blur_radius, cfg.blur_power, F.col("width"), cfg.max_output_width))
     return j.select(
-        "video_id", "camera_id", "scaled", graph.alias("filter_graph"),
+        "video_id", "path", "camera_id", "scaled", graph.alias("filter_graph"),
         F.concat(N.stem(F.col("path")), F.lit(suffix), N.extension(F.col("path"))).alias("output_name"),
         F.when(F.size("scaled") > 0, "masked").otherwise("passthrough").alias("status"),
     )
 
 
+def encode_command(tool: str, overwrite: bool = True) -> Column:
+    """Arguments of the encoder for a masked job of overlay_jobs(): audio is copied, the graph's last label mapped."""
+    label = F.when(F.col("filter_graph").endswith("[vpreview]"), "[vpreview]").otherwise("[vout]")
+    parts = [tool, "-hide_banner", "-loglevel", "error", "-y" if overwrite else "-n", "-i", F.col("path"), "-filter_complex", F.col("filter_graph"), "-map", label, "-map", "0:a?"]
+    parts += ["-c:v", "libx264", "-preset", "veryfast", "-crf", "18", "-pix_fmt", "yuv420p", "-c:a", "copy", "-movflags", "+faststart", F.col("output_name")]
+    return F.array(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
 def run_steps(steps: list[Step], regions: DataFrame, start: int = 1, keep: Callable[[int, DataFrame], DataFrame] | None = None) -> DataFrame:
     """Runs the steps from `start` on; keep() may write a step's result and give what to go on with."""
     for step in sorted(steps, key=lambda s: s.number):

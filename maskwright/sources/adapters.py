@@ -41,7 +41,7 @@ def single(df: DataFrame) -> DataFrame:
 
 
 def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customers as videos with probe results, some of them missing."""
+    """customers as videos with probe results, some of them missing; group_id is the camera's number, if known."""
     c = F.col("c_custkey")
     ext = F.element_at(F.array(*[F.lit(x) for x in EXTENSIONS]), (c % len(EXTENSIONS) + 1).cast("int"))
     name = F.concat(F.when(c % 11 == 0, F.lit("clip_time_location_masked_")).otherwise(F.lit("cam")), c.cast("string"), F.lit("."), ext)
@@ -55,7 +55,7 @@ def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(c % 4 != 0, c % 900).cast("long").alias("nb_frames"),
         F.when(c % 6 != 0, (c % 97).cast("double") / 4).alias("duration"),
         F.when(c % 5 == 0, c % 50).cast("long").alias("decoder_frames"),
-        F.col("c_nationkey").cast("int").alias("group_id"),
+        F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey")).cast("int").alias("group_id"),
     )
 
 
@@ -66,7 +66,7 @@ vid AS (SELECT 'v' || c AS video_id,
   (CASE c % 3 WHEN 0 THEN 1280 WHEN 1 THEN 1920 ELSE 2560 END)::INTEGER AS width, (CASE c % 3 WHEN 0 THEN 720 WHEN 1 THEN 1080 ELSE 1440 END)::INTEGER AS height,
   CASE c % 7 WHEN 0 THEN '30000/1001' WHEN 1 THEN '25/1' WHEN 2 THEN '0/0' WHEN 3 THEN 'N/A' ELSE '30/1' END AS r_frame_rate,
   CASE WHEN c % 4 <> 0 THEN c % 900 END AS nb_frames, CASE WHEN c % 6 <> 0 THEN (c % 97)::DOUBLE / 4 END AS duration,
-  CASE WHEN c % 5 = 0 THEN c % 50 END AS decoder_frames, c_nationkey::INTEGER AS group_id FROM v0)"""
+  CASE WHEN c % 5 = 0 THEN c % 50 END AS decoder_frames, CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey END::INTEGER AS group_id FROM v0)"""
 
 
 def cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
