@@ -49,15 +49,13 @@ def number_prefix(s: Column) -> Column:
 
 
 def common_substring(a: Column, b: Column) -> Column:
-    """Length of the longest common substring; for names, as it takes time in proportion to len(a) * len(b)."""
-    letters_b = F.filter(F.split(b, ""), lambda x: x != "")
-    zero = F.struct(F.transform(letters_b, lambda x: F.lit(0)).alias("row"), F.lit(0).alias("best"))
+    """Length of the longest common substring.
 
-    def step(state, ca):
-        row = F.transform(letters_b, lambda cb, j: F.when(cb == ca, F.when(j == 0, F.lit(0)).otherwise(F.get(state["row"], j - 1)) + 1).otherwise(F.lit(0)))
-        return F.struct(row.alias("row"), F.greatest(state["best"], F.coalesce(F.array_max(row), F.lit(0))).alias("best"))
-
-    return F.aggregate(F.filter(F.split(a, ""), lambda x: x != ""), zero, step, lambda s: s["best"])
+    One pass over the ends of substrings of a: the longest that ends at j is at most one longer
+    than the best so far, so one search in b per letter decides.
+    """
+    ends = F.when(F.length(a) > 0, F.sequence(F.lit(1), F.length(a))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(ends, F.lit(0), lambda best, j: F.when(F.contains(b, F.substring(a, j - best, best + 1)), best + 1).otherwise(best))
 
 
 def input_tag(name: Column) -> Column:
