@@ -24,9 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from maskwright.llm.common import release
+
 #: Most pieces and pairs of tokens that a worker remembers; a full memo starts anew.
-MEMO_PIECES = 1_000_000
-MEMO_PAIRS = 1_000_000
+MEMO_PIECES = 400_000
+MEMO_PAIRS = 400_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -186,5 +188,7 @@ def encode_decode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "
                 columns.append(pa.array(raw, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        tool.memo.clear()  # the next task's texts are others; pairs of tokens recur
+        release()
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA + (", ids array<int>" if keep_ids else ""))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -58,6 +60,13 @@ def drop_cut(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no malloc_trim
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 # --- words and shingles, vectorised over the bytes of many texts -------------------------------
 
 _RNG = np.random.default_rng(20240917)

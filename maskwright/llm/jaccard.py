@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import components, cut, shared_dir, shingles
+from maskwright.llm.common import components, cut, release, shared_dir, shingles
 
 WIDTH = 5
 E = 0.25
@@ -68,6 +68,7 @@ def document_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             sets = shingles(batch.column(1), width)
             digest = [class_id(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.int64())], ["doc_id", "n_shingles", "set_id"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_id long")
 
@@ -132,6 +133,7 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
                         yield flush()
         if held:
             yield flush()
+        release()
 
     def count(table: pa.Table) -> pa.Table:
         block = table.column("block").to_numpy()
@@ -174,6 +176,7 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
                     rows["doc"].append(doc[x:y].tobytes())
                     rows["grade"].append(grade[x:y].tobytes())
         types = [pa.int64()] + [pa.binary()] * 4
+        release()
         return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
 
     def choose(table: pa.Table) -> pa.Table:
@@ -208,6 +211,7 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
                     rows["prefix"].append(mine[:keep].astype(np.int64))
                     rows["tokens"].append(np.sort(mine).tobytes())
         types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        release()
         return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
 
     spread_out = docs.select("text").mapInArrow(spread, out_schema)
@@ -232,6 +236,7 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             d = [1 - k / (m + n - k) for k, m, n in zip(both, nx.to_pylist(), np_.to_pylist())]
             link = [linked(k, m, n) for k, m, n in zip(both, nx.to_pylist(), np_.to_pylist())]
             yield pa.RecordBatch.from_arrays([x, p, nx, pa.array(d, pa.float64()), pa.array(link, pa.bool_())], ["x", "p", "n", "d", "link"])
+        release()
 
     return pairs.join(a, "x").join(pivots, "p").select("x", "p", "nx", "np", "tx", "tp").mapInArrow(run, "x long, p long, n long, d double, link boolean")
 

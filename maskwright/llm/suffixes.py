@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import _BASE_INV, cut, mix, powers, prefix_hash, text_bytes
+from maskwright.llm.common import _BASE_INV, cut, mix, powers, prefix_hash, release
 
 LENGTH = 400
 GRAM = 64
@@ -177,6 +177,7 @@ def _anchors(docs: DataFrame) -> DataFrame:
                 manys.append(times > 1)
             if hs:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (hs, ts, ids, manys)], ["h", "t64", "doc_id", "many"])
+        release()
 
     return docs.select("doc_id", "text").filter(F.octet_length("text") >= LENGTH).filter("doc_id IS NOT NULL").mapInArrow(run, "h long, t64 long, doc_id long, many boolean")
 
@@ -239,6 +240,8 @@ def _sorted_groups(contents: DataFrame) -> DataFrame:
                 size += len(content)
         if held:
             yield flush()
+        held = []
+        release()
 
     return contents.select("key", "pid", "content", "weight").repartition("key").sortWithinPartitions("key").mapInArrow(run, "pid binary, hits array<int>")
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import _LOWER, mix, prefix_hash, span_hash, text_bytes, word_spans
+from maskwright.llm.common import _LOWER, mix, prefix_hash, release, span_hash, text_bytes, word_spans
 
 #: Bytes of text that are worked on at once.
 CHUNK = 1_500_000
@@ -18,22 +20,34 @@ def fold(id_col, modulus: int):
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(modulus))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, limit: int) -> tuple[list[tuple[str, int, str | None]], float]:
-    """At most `limit` labelled documents outside the held-out fold, half of them of each label if there are enough.
+def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, limit: int, fit):
+    """fit(rows, rate) on at most `limit` labelled documents outside the held-out fold, half of them of each label if there are enough.
 
-    The choice is by a hash of the id, so it is the same on every run; its size is bounded by the
-    parameter, so it may be broadcast and collected. Repeated labels of an id count once. Also
-    gives the rate of label 1 among all labels outside that fold.
+    The choice is by a hash of the id, so it is the same on every run. Its size is bounded by the
+    parameter, so it may be broadcast and meet in one task, where the model is fitted; only the
+    model comes to the driver. rows are (text, label, lang) by id; repeated labels of an id count
+    once. rate is that of label 1 among all labels outside the fold.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), modulus) != held_out)).groupBy("doc_id").agg(F.max(label).alias("y"))
     key = F.xxhash64("doc_id", F.lit(label))
     half = limit // 2
     parts = [known.filter(F.col("y") == y).orderBy(key, "doc_id").limit(half) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y", "lang").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     rate = known.agg(F.avg(F.col("y").cast("double"))).first()[0] or 0.0
-    return [(r["text"] or "", int(r["y"]), r["lang"]) for r in rows], rate
+
+    def run(batches):
+        rows = []
+        for batch in batches:
+            rows += zip(*(batch.column(i).to_pylist() for i in range(4)))
+        rows.sort(key=lambda r: (r[0], r[1] or ""))
+        model = fit([(text or "", int(y), lang) for _, text, y, lang in rows], rate)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+        del rows, model
+        release()
+
+    sample = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y"), "lang")
+    found = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(bytes(found[0][0])) if found else fit([], rate)
 
 
 def chunks(column):
@@ -61,6 +75,7 @@ def score_table(docs: DataFrame, score, modulus: int, held_out: int, threshold:
         for batch in batches:
             s = np.asarray(score(batch.column(1)), float)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], ["doc_id", "score", "predicted"])
+        release()
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), modulus) == held_out, F.lit(False)).alias("held_out"), "score", "predicted")

@@ -181,6 +181,11 @@ class ToxicityNet:
     def _tabulate(self) -> None:
         self.tables = [[(self.emb @ c[j]).astype(np.float32) for j in range(len(c))] for c in self.conv]
 
+    def slim(self) -> ToxicityNet:
+        """Without what only training needs."""
+        self.emb = self.conv = None
+        return self
+
     def _products(self, i: int, j: int, each: np.ndarray) -> np.ndarray:
         found = self.tables[i][j][each[:, 0]]
         for k in range(1, len(PARTS)):
@@ -218,8 +223,7 @@ class ToxicityNet:
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> ToxicityNet:
-    rows, rate = textmodel.training_rows(docs, labels, "toxic", MODULUS, HELD_OUT, limit)
-    return ToxicityNet().fit(rows, rate)
+    return textmodel.fit_on_sample(docs, labels, "toxic", MODULUS, HELD_OUT, limit, lambda rows, rate: ToxicityNet().fit(rows, rate).slim())
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
@@ -246,5 +250,6 @@ def filter_toxic(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Dat
             limits = shared.value.thresholds
             most = np.array([limits.get(x, limits[None]) for x in batch.column(at[1]).to_pylist()])
             yield batch.filter(pa.array(s < most))
+        textmodel.release()
 
     return docs.mapInArrow(run, docs.schema)
