@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import heapq
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def balance(weights: list[tuple[int, int]], shards: int) -> list[tuple[int, int]]:
@@ -23,21 +24,29 @@ def balance(weights: list[tuple[int, int]], shards: int) -> list[tuple[int, int]
 def assign_shards(items: DataFrame, shards: int, exact_rows: int = 100_000) -> DataFrame:
     """items(item_id, weight) with shard_id.
 
-    Greedy balancing is a sequential fold over all items, so it runs on the driver for up to
-    exact_rows items. More are dealt in snake order of their weight's rank, which needs no
-    sequence and keeps shards within one item's weight of each other.
+    Greedy balancing is a sequential fold over all items. Up to exact_rows items it runs on the
+    driver; more are sorted and streamed through one task, which holds only the shards' loads.
+    The assignment is the same.
     """
     rows = items.select("item_id", "weight").orderBy(F.desc("weight"), "item_id").limit(exact_rows + 1).collect()
     if len(rows) <= exact_rows:
         pairs = balance([(r[0], r[1]) for r in rows], shards)
         plan = items.sparkSession.createDataFrame(pairs or [(0, 0)], "item_id long, shard_id int")
         return items.join(F.broadcast(plan), "item_id")
-    from pyspark.sql import Window
-
-    span = Window.partitionBy("bin").orderBy(F.desc("weight"), "item_id")
-    binned = items.withColumn("bin", F.floor(F.log2(F.greatest("weight", F.lit(1)).cast("double")) * 8).cast("int"))
-    r = F.pmod(F.row_number().over(span) - 1 + F.pmod(F.hash("bin"), F.lit(2 * shards)), F.lit(2 * shards))
-    return binned.withColumn("shard_id", F.when(r < shards, r).otherwise(2 * shards - 1 - r).cast("int")).drop("bin")
+    at = items.columns.index("weight")
+
+    def deal(batches):
+        heap = [(0, k) for k in range(max(1, shards))]
+        for batch in batches:
+            out = []
+            for weight in batch.column(at).to_pylist():
+                total, k = heap[0]
+                heapq.heapreplace(heap, (total + weight, k))
+                out.append(k)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int32())], [*batch.schema.names, "shard_id"])
+
+    ordered = items.repartition(1).sortWithinPartitions(F.desc("weight"), "item_id")
+    return ordered.mapInArrow(deal, StructType([*items.schema.fields, StructField("shard_id", IntegerType())]))
 
 
 def detection_passes(cfg) -> list[dict]:

@@ -149,6 +149,13 @@ def test_large_sharding_stays_even(spark):
     assert len(totals) == 4 and max(totals) <= 4 / 3 * min(totals)
 
 
+def test_large_sharding_is_the_same_assignment(spark):
+    rows = [(i, (i * 7919) % 90 + 1) for i in range(3000)]
+    items = spark.createDataFrame(rows, "item_id long, weight long")
+    got = {r["item_id"]: r["shard_id"] for r in sharding.assign_shards(items, 5, exact_rows=10).collect()}
+    assert got == dict(sharding.balance(rows, 5))
+
+
 def test_cascade(spark):
     videos = spark.createDataFrame([("a", "/v/mapped.mp4"), ("b", "/v/gone.mp4"), ("c", "/v/depotnorth.mp4"), ("d", "/v/7.mp4"), ("e", "/v/8_x.mp4"), ("f", "/v/zzz.mp4")], "video_id string, path string")
     cameras = spark.createDataFrame([("7",), ("8",), ("c1",)], "camera_id string")
