@@ -16,7 +16,8 @@ group that's still too large into single strings; so no group is too large for a
 Documents of one text are all copies of each other: of LENGTH bytes and more, all of it goes.
 
 Null and empty texts have 0 bytes and nothing to remove. Texts of any length are handled whole.
-Repeated rows are documents of equal text. An empty table gives no rows. Further columns are
+Repeated rows are documents of equal text. Texts are told apart by their digests, so rows without an
+id and different texts of one id are treated like all others. An empty table gives no rows. Further columns are
 ignored (remove_repeats() keeps them).
 """
 
@@ -158,41 +159,39 @@ def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def _anchors(docs: DataFrame) -> DataFrame:
-    """(h, t64, doc_id, many): the distinct anchors of each text of LENGTH bytes at least."""
+    """(h, t64, many): the distinct anchors of each text of LENGTH bytes at least."""
 
     def run(batches):
         for batch in batches:
-            hs, ts, ids, manys = [], [], [], []
-            doc_ids = batch.column(0).to_pylist()
-            for i, text in enumerate(batch.column(1)):
+            hs, ts, manys = [], [], []
+            for text in batch.column(0):
                 if not text.is_valid or len(text.as_buffer()) < LENGTH:
                     continue
                 raw = text.as_buffer()
                 h, _, _, _ = runs(np.frombuffer(raw, np.uint8))
                 h, times = np.unique(h, return_counts=True)
                 hs.append(h.view(np.int64))
-                t64 = int.from_bytes(hashlib.md5(raw).digest()[:8], "little", signed=True)
+                t64 = int.from_bytes(hashlib.md5(raw).digest()[:8], "big", signed=True)
                 ts.append(np.full(len(h), t64))
-                ids.append(np.full(len(h), doc_ids[i]))
                 manys.append(times > 1)
             if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (hs, ts, ids, manys)], ["h", "t64", "doc_id", "many"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (hs, ts, manys)], ["h", "t64", "many"])
         release()
 
-    return docs.select("doc_id", "text").filter(F.octet_length("text") >= LENGTH).filter("doc_id IS NOT NULL").mapInArrow(run, "h long, t64 long, doc_id long, many boolean")
+    return docs.select("text").filter(F.octet_length("text") >= LENGTH).mapInArrow(run, "h long, t64 long, many boolean")
 
 
 def _runs_of(texts: DataFrame) -> DataFrame:
-    """From texts(doc_id, text, hs): runs whose anchor is in hs.
+    """From texts(tkey, text, hs): runs whose anchor is in hs.
 
-    Rows (h, pid, content, place, weight, doc_id, starts): one row per document and distinct run,
+    Rows (h, pid, content, place, weight, tkey, starts): one row per text and distinct run,
     with all starts of the run in it.
     """
 
     def run(batches):
         for batch in batches:
-            rows = {k: [] for k in ("h", "pid", "content", "place", "weight", "doc_id", "starts")}
-            for doc_id, text, hs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            rows = {k: [] for k in ("h", "pid", "content", "place", "weight", "tkey", "starts")}
+            for tkey, text, hs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 raw = memoryview(text.as_buffer())
                 h, first, count, place = runs(np.frombuffer(raw, np.uint8))
                 wanted = np.isin(h, hs.values.to_numpy().view(np.uint64))
@@ -204,15 +203,15 @@ def _runs_of(texts: DataFrame) -> DataFrame:
                     at = mine.get(pid)
                     if at is None:
                         mine[pid] = len(rows["h"])
-                        for name, value in zip(rows, (int(h[k].view(np.int64)), pid, bytes(content), int(place[k]), 1, doc_id, [s])):
+                        for name, value in zip(rows, (int(h[k].view(np.int64)), pid, bytes(content), int(place[k]), 1, tkey, [s])):
                             rows[name].append(value)
                     else:
                         rows["weight"][at] += 1
                         rows["starts"][at].append(s)
-            types = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            types = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
 
-    return texts.mapInArrow(run, "h long, pid binary, content binary, place int, weight long, doc_id long, starts array<int>")
+    return texts.mapInArrow(run, "h long, pid binary, content binary, place int, weight long, tkey binary, starts array<int>")
 
 
 def _sorted_groups(contents: DataFrame) -> DataFrame:
@@ -319,31 +318,34 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     anchors = cut(_anchors(docs))
     again = anchors.groupBy("h").agg(F.min("t64").alias("lo"), F.max("t64").alias("hi"), F.max("many").alias("many")).filter("lo <> hi OR many").select("h")
-    per_text = anchors.select("h", "doc_id").join(again, "h").groupBy("doc_id").agg(F.collect_set("h").alias("hs"))
-    per_text = per_text.join(texts.filter("rep IS NOT NULL").select(F.col("rep").alias("doc_id"), "tkey"), "doc_id")
-    chosen = cut(docs.join(per_text, "doc_id").filter(F.unhex(F.md5(F.encode("text", "utf-8"))) == F.col("tkey")))
-
-    rows = cut(_runs_of(chosen.select("doc_id", "text", "hs")))
+    per_text = anchors.select("h", "t64").join(again, "h").groupBy("t64").agg(F.collect_set("h").alias("hs"))
+    t64 = F.conv(F.hex(F.substring("tkey", 1, 8)), 16, -10).cast("long")
+    per_text = texts.select(F.col("tkey").alias("key"), "rep", t64.alias("t64")).join(per_text, "t64").drop("t64")
+    # one row of each text (of its least id, or all of them if none has an id)
+    keyed = docs.withColumn("tkey", F.unhex(F.md5(F.encode("text", "utf-8"))))
+    chosen = cut(keyed.join(per_text, (F.col("tkey") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("doc_id", "tkey", "text", "hs"))
+
+    rows = cut(_runs_of(chosen.select("tkey", "text", "hs")))
     contents = _merged(rows.withColumnRenamed("h", "key"))
     hits = cut(_hits(contents))
 
     def spread(batches):
         for batch in batches:
-            ids, lists = [], []
-            for doc_id, starts, hit in zip(*(batch.column(c) for c in range(3))):
+            keys, lists = [], []
+            for tkey, starts, hit in zip(*(batch.column(c) for c in range(3))):
                 hit = np.unique(hit.values.to_numpy())
                 edge = np.flatnonzero(np.diff(hit) > LENGTH) + 1  # spans that touch are one
                 begin, end = hit[np.concatenate([[0], edge])], hit[np.concatenate([edge - 1, [len(hit) - 1]])] + LENGTH
                 for s in starts.values.to_numpy():
-                    ids.append(doc_id.as_py())
+                    keys.append(tkey.as_py())
                     lists.append(np.stack([begin + s, end + s], 1).reshape(-1))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "cuts"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int32()))], ["tkey", "cuts"])
 
-    marks = rows.select("doc_id", "starts", "pid").join(hits, "pid").select("doc_id", "starts", "hits").mapInArrow(spread, "doc_id long, cuts array<int>")
-    marks = marks.groupBy("doc_id").agg(F.flatten(F.collect_list("cuts")).alias("cuts"))
+    marks = rows.select("tkey", "starts", "pid").join(hits, "pid").select("tkey", "starts", "hits").mapInArrow(spread, "tkey binary, cuts array<int>")
+    marks = marks.groupBy("tkey").agg(F.flatten(F.collect_list("cuts")).alias("cuts"))
     # of copies nothing stays anyway
-    single = base.select("doc_id", "tkey").join(texts.filter("copies = 1").select("tkey"), "tkey", "left_semi")
-    spans = chosen.select("doc_id", "tkey", "text").join(marks.join(single, "doc_id"), ["doc_id", "tkey"])
+    single = marks.join(texts.filter("copies = 1").select("tkey"), "tkey", "left_semi")
+    spans = chosen.select("doc_id", "tkey", "text").join(single, "tkey")
     return base.join(texts.select("tkey", "copies"), "tkey"), spans
 
 
@@ -385,7 +387,8 @@ def repeat_digests(docs: DataFrame) -> DataFrame:
     part = spans.select("doc_id", "tkey", "text", "cuts").mapInArrow(run, "doc_id long, tkey binary, n_removed long, n_spans long, kept string")
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     empty = hashlib.sha256(b"").hexdigest()
-    return base.join(part, ["doc_id", "tkey"], "left").select(
+    part = part.withColumnsRenamed({"doc_id": "mw_id", "tkey": "mw_key"})
+    return base.join(part, F.col("doc_id").eqNullSafe(F.col("mw_id")) & (F.col("tkey") == F.col("mw_key")), "left").select(
         "doc_id",
         "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
@@ -409,8 +412,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     part = spans.select("doc_id", "tkey", "text", "cuts").mapInArrow(run, "mw_id long, mw_key binary, mw_kept string")
     changed = base.filter(f"copies > 1 AND n_bytes >= {LENGTH}").select(F.col("doc_id").alias("mw_id"), F.col("tkey").alias("mw_key"), F.lit("").alias("mw_kept")).distinct().unionByName(part)
+    changed = changed.withColumnsRenamed({"mw_id": "mw_id2", "mw_key": "mw_key2"})
     keyed = docs.withColumn("mw_key", F.unhex(F.md5(F.encode(F.coalesce("text", F.lit("")), "utf-8")))).withColumn("mw_id", F.col("doc_id").cast("long"))
-    out = keyed.join(changed, ["mw_id", "mw_key"], "left").withColumn("text", F.coalesce("mw_kept", "text"))
+    out = keyed.join(changed, F.col("mw_id").eqNullSafe(F.col("mw_id2")) & (F.col("mw_key") == F.col("mw_key2")), "left").withColumn("text", F.coalesce("mw_kept", "text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("mw_kept").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(kind))

@@ -166,6 +166,23 @@ def test_repeats(spark, monkeypatch, buffer, step):
     assert all((out[i] or "") == np.frombuffer(b, np.uint8)[~g].tobytes().decode("utf-8", "ignore") for i, (b, g) in enumerate(zip(raw, gone)))
 
 
+def test_repeats_of_rows_with_null_and_repeated_ids(spark):
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    shared, again, other, copy = letters(600), letters(500), letters(700), letters(800)
+    rows = [(None, letters(90) + shared), (1, shared + letters(120)), (None, again + letters(50) + again), (None, letters(900))]
+    rows += [(2, letters(30) + other), (2, letters(1500)), (2, other + letters(400)), (3, letters(450)), (None, copy), (None, copy), (None, letters(40) + copy)]
+    rows += [(3, letters(10) + letters(500)), (None, None), (None, "short")]
+    raw, gone = brute_repeats([t for _, t in rows], suffixes.LENGTH)
+    kept = [np.frombuffer(b, np.uint8)[~g].tobytes() for b, g in zip(raw, gone)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in suffixes.repeat_digests(df).collect()]
+    want = [(i, len(b), int(g.sum()), hashlib.sha256(k).hexdigest()) for (i, _), b, g, k in zip(rows, raw, gone, kept)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    out = [(r["doc_id"], r["text"] or "") for r in suffixes.remove_repeats(df).collect()]
+    assert sorted(out, key=repr) == sorted(((i, k.decode("utf-8", "ignore")) for (i, _), k in zip(rows, kept)), key=repr)
+
+
 def test_repeats_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert suffixes.repeat_digests(df).count() == 0
