@@ -431,6 +431,24 @@ def force_best_match(spark, sf):
     return matching.force_best(v, fast, slow).select("video_id", "camera_id", r6(F.col("score"), "score"))
 
 
+def signature_scores(spark, sf) -> DataFrame:
+    """Every image against the first image of each group by the dot product of their signatures; null if either has none or lengths differ."""
+    frames = pixels.gray_frames(A.gray_images(spark, sf)).withColumn("boxes", F.expr("array(array(0, 0, 8, 4), array(0, 4, 8, 8))"))
+    signed = pixels.signatures(frames).withColumn("signature", F.col("signature").cast("array<double>"))
+    images = A.gray_images(spark, sf).select("image_id", "group_id").join(signed, "image_id")
+    templates = matching.small(images.groupBy(F.col("group_id").alias("camera_id")).agg(F.min_by("signature", "image_id").alias("t")))
+    score = F.when(F.size("signature") == F.size("t"), F.round(matching.dot(F.col("signature"), F.col("t")), 9))
+    return images.join(templates).select(F.col("image_id").alias("video_id"), "camera_id", score.alias("score"))
+
+
+@query()
+def force_best_match_all(spark, sf):
+    """The best camera of every video: each candidate by the fast score, else NCC, else 0.0, and no threshold."""
+    slow = ncc_scores(spark, sf).select("video_id", "camera_id", F.round("score", 9).alias("ncc"))
+    scores = slow.join(signature_scores(spark, sf), ["video_id", "camera_id"], "left").withColumn("score", F.coalesce("score", "ncc", F.lit(0.0)))
+    return matching.top_with_margin(scores).select("video_id", "camera_id", r6(F.col("score"), "score"))
+
+
 @query(DET + " SELECT video_id, class_id AS camera_id, round(sum(y1 / 950 * ((x2 - x1) * (y2 - y1))) / sum((x2 - x1) * (y2 - y1)), 6) AS score FROM det GROUP BY 1, 2")
 def area_weighted_score(spark, sf):
     d = det(spark, sf).select("video_id", F.col("class_id").alias("camera_id"), (F.col("y1") / 950).alias("score"), G.area(F.struct(*_BOX)).alias("area"))

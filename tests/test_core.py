@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from maskwright.functions import geometry as G
 from maskwright.functions import images
 from maskwright.functions import names as N
 from maskwright.operators import labels, matching, pixels, sharding, temporal
-from maskwright.plans import steps
+from maskwright.plans import catalogue, steps
 from maskwright.sources import codecs, files
 
 CFG = config.PlateConfig()
@@ -256,6 +257,34 @@ def test_decode_and_encode(spark):
     assert [tuple(r) for r in done.collect()] == [("a", "/out/a.mp4", 3, "ok")]
 
 
+def matcher_scores(sf_dir):
+    """(image, camera): signature score or None, and NCC, by brute force."""
+    rows = pq.read_table(f"{sf_dir}/embeddings.parquet", columns=["vec_id", "label", "embedding"]).to_pylist()
+    sign, centred, first = {}, {}, {}
+    for r in sorted(rows, key=lambda r: r["vec_id"]):
+        x = np.array(r["embedding"], float)
+        g = np.rint((x - x.min()) / ((x.max() - x.min()) or 1) * 255).astype(np.uint8).reshape(8, 8)
+        sign[r["vec_id"]], centred[r["vec_id"]] = images.signature(g, [[0, 0, 8, 4], [0, 4, 8, 8]]), x - x.mean()
+        first.setdefault(r["label"], r["vec_id"])
+    out = {}
+    for i in sign:
+        for camera, t in first.items():
+            a, b = sign[i], sign[t]
+            fast = None if a is None or b is None or len(a) != len(b) else float(np.dot(a.astype(np.float32).astype(float), b.astype(np.float32).astype(float)))
+            norms = np.linalg.norm(centred[i]) * np.linalg.norm(centred[t])
+            out[i, camera] = fast, float(centred[i] @ centred[t] / norms) if norms else 0.0
+    return out
+
+
+def test_force_best_has_no_threshold(spark, sf_dir):
+    best = {}
+    for (i, camera), (fast, slow) in matcher_scores(sf_dir).items():
+        best[i] = max(best.get(i, -2.0), slow if fast is None else fast)
+    got = {r["video_id"]: r for r in catalogue.QUERIES["force_best_match_all"](spark, sf_dir).collect()}
+    assert set(got) == set(best) and all(r["camera_id"] is not None for r in got.values())
+    assert all(got[i]["score"] == pytest.approx(best[i], abs=2e-6) for i in best)
+
+
 def test_steps_resume(spark):
     rows = [("v", f, 0, 10.0 + f, 10.0, 50.0 + f, 40.0) for f in (1, 4, 9)]
     df = spark.createDataFrame(rows, "video_id string, frame_no int, box_idx int, x1 double, y1 double, x2 double, y2 double")
