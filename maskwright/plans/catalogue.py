@@ -423,6 +423,14 @@ def matchers_agree(spark, sf):
     return matching.agree(fast, slow).select("video_id", "camera_id", r6(F.col("score"), "score"))
 
 
+@query()
+def signature_matchers_agree(spark, sf):
+    """matchers_agree with the signatures as the fast matcher."""
+    fast = matching.top_with_margin(signature_scores(spark, sf).filter("score IS NOT NULL"))
+    slow = matching.top_with_margin(ncc_scores(spark, sf).withColumn("score", F.round("score", 9)))
+    return matching.agree(fast, slow).select("video_id", "camera_id", r6(F.col("score"), "score"))
+
+
 @query("WITH " + _NCC + _FAST + " SELECT i.vec_id AS video_id, coalesce(fb.camera_id, nb.camera_id) AS camera_id, round(coalesce(fb.score, nb.score, 0.0), 6) AS score FROM im i LEFT JOIN (SELECT * FROM fb WHERE score >= 0.5) fb ON fb.video_id = i.vec_id LEFT JOIN (SELECT * FROM nb WHERE score >= 0.2) nb ON nb.video_id = i.vec_id")
 def force_best_match(spark, sf):
     v = A.gray_images(spark, sf).select(F.col("image_id").alias("video_id"))

@@ -285,6 +285,19 @@ def test_force_best_has_no_threshold(spark, sf_dir):
     assert all(got[i]["score"] == pytest.approx(best[i], abs=2e-6) for i in best)
 
 
+def test_signature_and_ncc_disagreements_are_rejected(spark, sf_dir):
+    fast, slow = {}, {}
+    for (i, camera), (f, n) in sorted(matcher_scores(sf_dir).items()):
+        for best, score in ((fast, f), (slow, n)):
+            if score is not None and (i not in best or round(score, 9) > best[i][1]):
+                best[i] = camera, round(score, 9)
+    want = {i: (fast[i][0], min(fast[i][1], slow[i][1])) for i in fast if fast[i][0] == slow[i][0]}
+    got = {r["video_id"]: (r["camera_id"], r["score"]) for r in catalogue.QUERIES["signature_matchers_agree"](spark, sf_dir).collect()}
+    print(f"agree: {len(got)} of {len(slow)}")
+    assert 0 < len(got) < len(slow) and set(got) == set(want)
+    assert all(got[i][0] == c and got[i][1] == pytest.approx(s, abs=2e-6) for i, (c, s) in want.items())
+
+
 def test_steps_resume(spark):
     rows = [("v", f, 0, 10.0 + f, 10.0, 50.0 + f, 40.0) for f in (1, 4, 9)]
     df = spark.createDataFrame(rows, "video_id string, frame_no int, box_idx int, x1 double, y1 double, x2 double, y2 double")
