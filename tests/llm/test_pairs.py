@@ -149,21 +149,32 @@ def repeat_texts():
     return texts
 
 
-@pytest.mark.parametrize("buffer,step", [(400_000, 32), (2_000, 8)])
+def kept_bytes(raw, gone):
+    return [np.frombuffer(b, np.uint8)[~g].tobytes() for b, g in zip(raw, gone)]
+
+
+def check_repeats(spark, rows, schema="doc_id long, text string"):
+    """Digests by LENGTH and PASSAGE, and the texts left by PASSAGE, against every string of these lengths."""
+    texts = [r[1] for r in rows]
+    raw, gone = brute_repeats(texts, suffixes.LENGTH)
+    _, shared = brute_repeats(texts, suffixes.PASSAGE)
+    df = spark.createDataFrame(rows, schema)
+    runs = [int(np.diff(np.concatenate([[0], g.astype(int)])).clip(0).sum()) for g in gone]
+    want = [(r[0], len(b), int(g.sum()), n, hashlib.sha256(k).hexdigest(), int(h.sum())) for r, b, g, n, k, h in zip(rows, raw, gone, runs, kept_bytes(raw, gone), shared)]
+    got = [tuple(r) for r in suffixes.repeat_digests(df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    out = suffixes.remove_repeats(df)
+    assert out.columns == df.columns
+    left = [(r[0], *r[2:], k.decode("utf-8", "ignore")) for r, k in zip(rows, kept_bytes(raw, shared))]
+    assert sorted(((r[0], *r[2:], r[1] or "") for r in out.collect()), key=repr) == sorted(left, key=repr)
+
+
+@pytest.mark.parametrize("buffer,step", [(400_000, 32), (2_000, 8), (500, 4)])
 def test_repeats(spark, monkeypatch, buffer, step):
     monkeypatch.setattr(suffixes, "BUFFER", buffer)
+    monkeypatch.setattr(suffixes, "BATCH", 3 * buffer)
     monkeypatch.setattr(suffixes, "STEP", step)
-    texts = repeat_texts()
-    raw, gone = brute_repeats(texts, suffixes.LENGTH)
-    df = spark.createDataFrame([(i, t, 1, "k") for i, t in enumerate(texts)], "doc_id long, text string, h int, tkey string")
-    got = {r["doc_id"]: r for r in suffixes.repeat_digests(df).collect()}
-    for i, (b, g) in enumerate(zip(raw, gone)):
-        r = got[i]
-        kept = np.frombuffer(b, np.uint8)[~g].tobytes()
-        runs = int(np.diff(np.concatenate([[0], g.astype(int)])).clip(0).sum())
-        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == (len(b), int(g.sum()), runs, hashlib.sha256(kept).hexdigest()), i
-    out = {r["doc_id"]: r["text"] for r in suffixes.remove_repeats(df).collect()}
-    assert all((out[i] or "") == np.frombuffer(b, np.uint8)[~g].tobytes().decode("utf-8", "ignore") for i, (b, g) in enumerate(zip(raw, gone)))
+    check_repeats(spark, [(i, t, 1, "k", i, "m") for i, t in enumerate(repeat_texts())], "doc_id long, text string, h int, tkey string, mw_id int, mw_kept string")
 
 
 def test_repeats_of_rows_with_null_and_repeated_ids(spark):
@@ -173,14 +184,17 @@ def test_repeats_of_rows_with_null_and_repeated_ids(spark):
     rows = [(None, letters(90) + shared), (1, shared + letters(120)), (None, again + letters(50) + again), (None, letters(900))]
     rows += [(2, letters(30) + other), (2, letters(1500)), (2, other + letters(400)), (3, letters(450)), (None, copy), (None, copy), (None, letters(40) + copy)]
     rows += [(3, letters(10) + letters(500)), (None, None), (None, "short")]
-    raw, gone = brute_repeats([t for _, t in rows], suffixes.LENGTH)
-    kept = [np.frombuffer(b, np.uint8)[~g].tobytes() for b, g in zip(raw, gone)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in suffixes.repeat_digests(df).collect()]
-    want = [(i, len(b), int(g.sum()), hashlib.sha256(k).hexdigest()) for (i, _), b, g, k in zip(rows, raw, gone, kept)]
-    assert sorted(got, key=repr) == sorted(want, key=repr)
-    out = [(r["doc_id"], r["text"] or "") for r in suffixes.remove_repeats(df).collect()]
-    assert sorted(out, key=repr) == sorted(((i, k.decode("utf-8", "ignore")) for (i, _), k in zip(rows, kept)), key=repr)
+    check_repeats(spark, rows)
+
+
+def test_passages_shorter_than_the_digest_length(spark):
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    p = letters(320)
+    rows = [(i, letters(200 + i) + p + letters(210 - i)) for i in range(9)] + [(20, letters(249)), (21, letters(100) + "z" + p[40:280] + "z" + letters(100))]
+    check_repeats(spark, rows)
+    got = {r["doc_id"]: r for r in suffixes.repeat_digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["n_removed"] == 0 and 320 <= got[i]["n_shared"] < 330 for i in range(9)) and got[21]["n_shared"] == 0
 
 
 def test_repeats_empty_table(spark):
