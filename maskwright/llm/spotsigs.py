@@ -1,6 +1,6 @@
 """Document fingerprints by SpotSigs; DataFrame functions only.
 
-A spot signature is a common word (the anchor) with the chain of the next content words after it,
+A spot signature is a common word (the anchor) with the chain of the next two content words after it,
 the common words in between left out. A document's fingerprint is the set of its signatures;
 natural-language passages have many, while lists and menus have few. Texts are lowered and the
 punctuation in PUNCTUATION is removed before. A text without any signature has its distinct words
@@ -28,26 +28,38 @@ ANCHORS = (
     "el y los las se del por con su una no para es al lo"
 ).split()
 PUNCTUATION = ".,;:!?%&$*#|\"()[]{}<>"
-#: Content words in a chain.
-CHAIN = 2
 #: Documents that a bucket of neighbouring ids should have, and up to how many buckets their table is broadcast.
 BUCKET_ROWS = 1000
 BROADCAST_BUCKETS = 100_000
 QUANTILES = 64
 
-_STOP = "(?:" + "|".join(sorted(set(ANCHORS), key=lambda w: (-len(w), w))) + ")"
-_SKIP = rf"(?:{_STOP}\s++)*+"
-_SPOT = rf"(?<!\S)(?=({_STOP}(?:\s++{_SKIP}(?!{_STOP}(?!\S))\S++){{{CHAIN}}}))"
-_BETWEEN = rf"(?<=\s){_STOP}\s++(?=\S)"
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def signatures(text: Column) -> Column:
-    """The sorted distinct 64-bit hashes of a text's spot signatures (or words, if it has none)."""
+    """The sorted distinct 64-bit hashes of a text's spot signatures (or words, if it has none).
+
+    The words are written out with a line end after each content word, so every line holds the
+    common words before a content word and that word; each of them is an anchor of that word and
+    the next line's. Common words after the last content word have no chain. Every step is linear
+    in the text.
+    """
     plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), PUNCTUATION, "")
-    spots = F.transform(F.regexp_extract_all(plain, F.lit(_SPOT), F.lit(1)), lambda s: F.xxhash64(F.regexp_replace(F.regexp_replace(s, _BETWEEN, ""), r"\s+", " ")))
-    words = F.transform(F.filter(F.split(plain, r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w))
-    # the empty text keeps the words branch empty
-    return F.array_sort(F.array_distinct(F.when(plain.rlike(_SPOT), spots).otherwise(words)))
+    words = F.filter(F.split(plain, r"\s+"), lambda w: w != "")
+    lines = F.split(F.array_join(F.transform(words, lambda w: F.concat(w, F.when(w.isin(*sorted(set(ANCHORS))), F.lit(" ")).otherwise(F.lit("\n")))), ""), "\n")
+
+    def spots(line: Column, following: Column) -> Column:
+        chain = F.concat(F.lit(" "), F.substring_index(line, " ", -1), F.lit(" "), F.substring_index(following, " ", -1))
+        anchors = _let(F.split(line, " "), lambda a: F.slice(a, 1, F.size(a) - 1))
+        return F.when((F.instr(line, " ") > 0) & following.isNotNull(), _let(chain, lambda c: F.transform(anchors, lambda a: F.xxhash64(F.concat(a, c))))).otherwise(F.array().cast("array<bigint>"))
+
+    # what follows the last line end isn't a line
+    whole = _let(lines, lambda x: F.slice(x, 1, F.size(x) - 1))
+    found = _let(whole, lambda x: F.flatten(F.zip_with(x, F.slice(x, 2, F.greatest(F.size(x), F.lit(1))), spots)))
+    return _let(found, lambda x: F.sort_array(F.array_distinct(F.when(F.size(x) > 0, x).otherwise(F.transform(words, lambda w: F.xxhash64(w))))))
 
 
 def fingerprint(sigs: Column) -> Column:

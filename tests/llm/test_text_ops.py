@@ -128,8 +128,8 @@ def spots(text):
     stop = set(spotsigs.ANCHORS)
     found = set()
     for i, x in enumerate(w):
-        rest = [y for y in w[i + 1 :] if y not in stop][: spotsigs.CHAIN]
-        if x in stop and len(rest) == spotsigs.CHAIN:
+        rest = [y for y in w[i + 1 :] if y not in stop][:2]
+        if x in stop and len(rest) == 2:
             found.add((x, *rest))
     return found or set(w)
 
@@ -161,6 +161,13 @@ def test_spotsigs(spark):
     assert spotsigs.compare_edited(df.limit(0)).count() == 0
 
 
+def test_spotsigs_of_very_long_texts(spark):
+    texts = ["the " * 100_000, "the " * 100_000 + "red house", "house " * 100_000, "the red house " * 50_000 + "of"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n"] for r in df.select("doc_id", F.size(spotsigs.signatures(F.col("text"))).alias("n")).collect()}
+    assert got == {i: len(spots(t)) for i, t in enumerate(texts[:1] + ["the red house"] + texts[2:3] + ["the red house " * 3])}
+
+
 def test_spotsigs_buckets_and_pairs(spark, monkeypatch):
     monkeypatch.setattr(spotsigs, "BUCKET_ROWS", 3)
     df = spark.createDataFrame([(i * i, f"the stone{i} river{i % 7} of tree{i % 5} blue") for i in range(60)], "doc_id long, text string")
