@@ -15,20 +15,31 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def substrings(text: Column, least: int) -> Column:
+    """The distinct substrings of at least `least` characters."""
+    n = F.length(text)
+    starts = F.when(n >= least, F.sequence(F.lit(1), n - least + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(least), n - i + 1), lambda k: F.substring(text, i, k)))))
+
+
 def fuzzy_keys(videos: DataFrame, mapping: DataFrame, least: int = 3) -> DataFrame:
     """(video_id, fuzzy_id, score): the camera of the key that shares the longest substring with the name.
 
     Ties for the best score match nothing, even if both keys name the same camera. Names are
-    normalised and compared once per distinct name.
+    normalised and looked up once per distinct name: the keys' substrings are counted first, so a
+    substring that many keys have is one row, and names meet them by equality; names and keys are
+    never paired.
     """
     keys = mapping.select(N.normalize(F.col("key")).alias("norm"), "camera_id").filter("norm <> '' AND NOT norm RLIKE '^[0-9]+$'")
     named = videos.select("video_id", N.normalize(F.col("path")).alias("name")).filter("name <> ''")
-    distinct = named.select("name").distinct()
-    # two equal names score alike, so only a key's best two scores matter
-    scored = distinct.join(small(keys)).withColumn("score", N.common_substring(F.col("name"), F.col("norm"))).filter(F.col("score") >= least)
-    best = scored.groupBy("name").agg(F.max(F.struct("score", "camera_id")).alias("top"), F.max("score").alias("m"), F.collect_list("score").alias("scores"))
-    best = best.filter(F.size(F.filter("scores", lambda s: s == F.col("m"))) == 1)
-    return named.join(best.select("name", F.col("top.camera_id").alias("fuzzy_id"), F.col("top.score").alias("score")), "name").drop("name")
+    parts = keys.withColumn("part", F.explode(substrings(F.col("norm"), least)))
+    parts = parts.groupBy("part").agg(F.count("*").alias("n"), F.max("norm").alias("norm"), F.max("camera_id").alias("camera_id"))
+    asked = named.select("name").distinct().withColumn("part", F.explode(substrings(F.col("name"), least)))
+    # of the longest shared substrings, all must be of one key only
+    by_length = asked.join(parts, "part").groupBy("name", F.length("part").alias("score"))
+    by_length = by_length.agg(F.max("n").alias("n"), F.min("norm").alias("lo"), F.max("norm").alias("hi"), F.max("camera_id").alias("camera_id"))
+    best = by_length.groupBy("name").agg(F.max(F.struct("score", "n", "lo", "hi", "camera_id")).alias("b")).filter("b.n = 1 AND b.lo = b.hi")
+    return named.join(best.select("name", F.col("b.camera_id").alias("fuzzy_id"), F.col("b.score").alias("score")), "name").drop("name")
 
 
 def exact_match(videos: DataFrame, cameras: DataFrame, mapping: DataFrame, least: int = 3) -> DataFrame:
