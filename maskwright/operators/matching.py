@@ -119,6 +119,39 @@ def force_best(videos: DataFrame, fast: DataFrame, slow: DataFrame) -> DataFrame
     return j.select("video_id", F.coalesce("fc", "sc").alias("camera_id"), F.coalesce("fs", "ss", F.lit(0.0)).alias("score"))
 
 
+def cascade(videos: DataFrame, exact: DataFrame, fast, slow, forced) -> DataFrame:
+    """(video_id, camera_id, method, score) of every video(video_id, masked), the first that applies:
+
+    exact: its camera in exact(video_id, camera_id). agreed: it carries a mask already, and both image
+    matchers name one camera. fast, ncc: it doesn't, and that matcher accepts a camera. forced: the
+    best camera without a threshold, never for a masked video. none: nothing applies.
+    fast(videos), slow(videos) and forced(videos) give the accepted best (video_id, camera_id, score) of
+    the videos they're asked for, so each stage works on what is still open.
+    """
+    def stage(df, method):
+        return df.select("video_id", "camera_id", F.lit(method).alias("method"), F.col("score").cast("double").alias("score"))
+
+    def without(df, *done):
+        for d in done:
+            df = df.join(d.select("video_id"), "video_id", "left_anti")
+        return df
+
+    found = stage(exact.filter("camera_id IS NOT NULL").withColumn("score", F.lit(None)), "exact")
+    rest = without(videos.select("video_id", "masked"), found)
+    masked, open_ = rest.filter("masked"), rest.filter("NOT masked")
+    agreed = stage(agree(fast(masked), slow(masked)), "agreed")
+    quick = stage(fast(open_), "fast")
+    open_ = without(open_, quick)
+    ncc_ = stage(slow(open_), "ncc")
+    open_ = without(open_, ncc_)
+    best = stage(forced(open_), "forced")
+    none = without(rest, agreed, quick, ncc_, best).select("video_id", F.lit(None).cast(exact.schema["camera_id"].dataType).alias("camera_id"), F.lit("none").alias("method"), F.lit(None).cast("double").alias("score"))
+    out = found
+    for part in (agreed, quick, ncc_, best, none):
+        out = out.unionByName(part)
+    return out
+
+
 def area_mean(box_scores: DataFrame) -> DataFrame:
     """Scores of boxes averaged by their area."""
     return box_scores.groupBy("video_id", "camera_id").agg((F.sum(F.col("score") * F.col("area")) / F.sum("area")).alias("score"))

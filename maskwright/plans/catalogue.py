@@ -523,13 +523,25 @@ def shard_totals(spark, sf):
     return sharding.assign_shards(A.shard_items(spark, sf), 8).groupBy("shard_id").agg(F.sum("weight").alias("weight"), F.count("*").alias("items"))
 
 
-@query("WITH " + A.VIDEOS_SQL + ", p(pass_name, imgsz, conf, augment, batch) AS (VALUES ('primary', 1920, 0.18::DOUBLE, false, 8), ('secondary', 2560, 0.1::DOUBLE, true, 4)) SELECT video_id, pass_name, imgsz, conf, augment, batch FROM vid, p")
-def detection_passes(spark, sf):
-    cfg = config.configure(config.CAR_PLATES, secondary_imgsz=2560, secondary_conf_thresh=0.10, secondary_batch_size=4)
-    plan = spark.createDataFrame([(p["pass_name"], p["imgsz"], p["conf"], p["augment"], p["batch"]) for p in sharding.detection_passes(cfg)], "pass_name string, imgsz int, conf double, augment boolean, batch int")
+def _passes(spark, sf, settings) -> DataFrame:
+    """Every video with the passes of each of (name, settings)."""
+    rows = [(name, p["pass_name"], p["imgsz"], p["conf"], p["augment"], p["batch"]) for name, cfg in settings for p in sharding.detection_passes(cfg)]
+    plan = spark.createDataFrame(rows, "step string, pass_name string, imgsz int, conf double, augment boolean, batch int")
     return A.videos(spark, sf).select("video_id").join(F.broadcast(plan))
 
 
+@query("WITH " + A.VIDEOS_SQL + """, p(step, pass_name, imgsz, conf, augment, batch) AS (VALUES ('car', 'primary', 1920, 0.18::DOUBLE, false, 8), ('truck', 'primary', 5120, 0.1::DOUBLE, false, 1),
+ ('car2', 'primary', 1920, 0.18::DOUBLE, false, 8), ('car2', 'secondary', 2560, 0.1::DOUBLE, true, 4), ('plain', 'primary', 640, 0.18::DOUBLE, true, 16), ('plain', 'secondary', 640, 0.18::DOUBLE, false, 16),
+ ('wide', 'primary', 5200, 0.3::DOUBLE, false, 2), ('wide', 'secondary', 2600, 0.3::DOUBLE, true, 4))
+SELECT video_id, step, pass_name, imgsz, conf, augment, batch FROM vid, p""")
+def detection_passes(spark, sf):
+    """Passes by the defaults of the steps, with the secondary one on, and with what isn't given derived from the primary pass."""
+    set_ = config.configure
+    plain = set_(config.PlateConfig(), {"tta_augment": True, "secondary_detection_enabled": True, "secondary_tta_augment": False})
+    wide = set_(config.PlateConfig(), {"imgsz": 5200, "detection_conf_thresh": 0.3, "secondary_detection_enabled": True, "secondary_imgsz": 2600})
+    return _passes(spark, sf, [("car", config.CAR_PLATES), ("truck", config.TRUCK_PLATES), ("car2", set_(config.CAR_PLATES, secondary=True)), ("plain", plain), ("wide", wide)])
+
+
 @query()
 def sample_videos(spark, sf):
     return sharding.sample_videos(A.videos(spark, sf), 20).select("video_id", "path")
@@ -565,7 +577,33 @@ def text_signatures(spark, sf):
     return s.select("image_id", F.size("signature").alias("length"), F.round(F.aggregate("signature", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")), 4).alias("norm"))
 
 
+def _cascade(spark, sf) -> DataFrame:
+    """The match cascade over all videos; a video's first frame is the image of its number, if there is one."""
+    v = A.videos(spark, sf).withColumn("masked", N.is_already_masked(F.col("path")))
+    own = F.concat(F.lit("v"), F.col("video_id").cast("string"))
+    ncc = ncc_scores(spark, sf).select(own.alias("video_id"), F.col("camera_id").cast("string").alias("camera_id"), F.round("score", 9).alias("score"))
+    signed = signature_scores(spark, sf).select(own.alias("video_id"), F.col("camera_id").cast("string").alias("camera_id"), "score")
+    cfg = config.OverlayConfig()
+
+    def best(scores, least, margin):
+        return lambda asked: matching.accept(matching.top_with_margin(scores.join(asked.select("video_id"), "video_id", "left_semi")), least, margin)
+
+    def forced(asked):
+        scores = ncc.withColumnRenamed("score", "ncc").join(signed, ["video_id", "camera_id"], "left").withColumn("score", F.coalesce("score", "ncc", F.lit(0.0)))
+        return matching.top_with_margin(scores.join(asked.select("video_id"), "video_id", "left_semi"))
+
+    exact = matching.exact_match(v, A.cameras(spark, sf), A.mapping(spark, sf))
+    return matching.cascade(v, exact, best(signed.filter("score IS NOT NULL"), cfg.fast_score, cfg.fast_margin), best(ncc, cfg.ncc_score, cfg.ncc_margin), forced)
+
+
+@query()
+def match_cascade(spark, sf):
+    return _cascade(spark, sf).select("video_id", "camera_id", "method", r6(F.col("score"), "score"))
+
+
 @query()
 def full_pipeline(spark, sf):
-    final = steps.run_steps(steps.default_steps(W, H), det(spark, sf).select("video_id", "frame_no", "box_idx", *_BOX))
-    return steps.blur_plan(final, config.CAR_PLATES, W, H)
+    """Rectangles of all four steps."""
+    v = A.videos(spark, sf)
+    done = steps.default_steps(lambda k: A.step_detections(spark, sf, k), v, _cascade(spark, sf), A.cameras(spark, sf), W, H)
+    return steps.run_steps(done).select("step", "video_id", "frame_no", "box_idx", "x1", "y1", "x2", "y2", "kernel")

@@ -1,4 +1,4 @@
-"""The anonymisation steps as one resumable chain of DataFrame transformations."""
+"""The anonymisation steps as resumable DataFrame transformations."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.config import CAR_PLATES, TRUCK_PLATES, FaceConfig
+from maskwright.config import CAR_PLATES, TRUCK_PLATES, FaceConfig, OverlayConfig, PlateConfig
 from maskwright.functions import geometry as G
 from maskwright.functions import names as N
 from maskwright.operators import labels, temporal
@@ -16,9 +16,11 @@ from maskwright.operators import labels, temporal
 
 @dataclass(frozen=True)
 class Step:
+    """A step and how its rectangles are made; every step detects anew, so it needs no other step's."""
+
     number: int
     name: str
-    run: Callable[[DataFrame], DataFrame]
+    run: Callable[[], DataFrame]
 
 
 def plate_regions(detected: DataFrame, cfg=CAR_PLATES, width: int = 1920, height: int = 1080) -> DataFrame:
@@ -62,18 +64,31 @@ def encode_command(tool: str, overwrite: bool = True) -> Column:
     return F.array(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def run_steps(steps: list[Step], regions: DataFrame, start: int = 1, keep: Callable[[int, DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Runs the steps from `start` on; keep() may write a step's result and give what to go on with."""
+def run_steps(steps: list[Step], start: int = 1, keep: Callable[[int, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The rectangles of the steps from `start` on, in order; keep() may write a step's result and give what to go on with."""
+    out = None
     for step in sorted(steps, key=lambda s: s.number):
         if step.number >= start:
-            regions = step.run(regions)
-            regions = keep(step.number, regions) if keep else regions
-    return regions
+            made = step.run().withColumn("step", F.lit(step.number))
+            made = keep(step.number, made) if keep else made
+            out = made if out is None else out.unionByName(made)
+    if out is None:
+        raise ValueError(f"no step from {start} on")
+    return out
+
+
+def overlay_rectangles(jobs: DataFrame, cfg=OverlayConfig()) -> DataFrame:
+    """The boxes of overlay_jobs() as rectangles; they hold for all frames (frame_no is null)."""
+    rows = jobs.select("video_id", F.lit(None).cast("int").alias("frame_no"), F.posexplode("scaled").alias("box_idx", "r"))
+    return rows.select("video_id", "frame_no", "box_idx", "r.x1", "r.y1", "r.x2", "r.y2", F.lit(cfg.blur_radius).alias("kernel"))
 
 
-def default_steps(width: int = 1920, height: int = 1080) -> list[Step]:
+def default_steps(detections: Callable[[int], DataFrame], videos: DataFrame, matches: DataFrame, cameras: DataFrame, width: int = 1920, height: int = 1080) -> list[Step]:
+    """The four steps: detections(number) gives what a step's detector finds, matches the cameras of step 3."""
+    face = FaceConfig()
     return [
-        Step(1, "car plates", lambda d: plate_regions(d, CAR_PLATES, width, height)),
-        Step(2, "truck plates", lambda d: plate_regions(d, TRUCK_PLATES, width, height)),
-        Step(4, "faces", face_regions),
+        Step(1, "car plates", lambda: blur_plan(plate_regions(detections(1), CAR_PLATES, width, height), CAR_PLATES, width, height)),
+        Step(2, "truck plates", lambda: blur_plan(plate_regions(detections(2), TRUCK_PLATES, width, height), TRUCK_PLATES, width, height)),
+        Step(3, "time and location overlay", lambda: overlay_rectangles(overlay_jobs(videos, matches, cameras, OverlayConfig()))),
+        Step(4, "faces", lambda: blur_plan(face_regions(detections(4), face), PlateConfig(blur_radius=face.blur_radius), width, height)),
     ]

@@ -40,6 +40,12 @@ def single(df: DataFrame) -> DataFrame:
     return df.filter("box_idx = 0")
 
 
+def step_detections(spark: SparkSession, sf_dir: str, step: int) -> DataFrame:
+    """What a step's detector finds: a third of the event types each; its videos are those of videos()."""
+    d = detections(spark, sf_dir).filter(F.col("class_id") % 3 == {1: 0, 2: 1, 4: 2}[step])
+    return d.withColumn("video_id", F.concat(F.lit("v"), F.col("video_id").cast("string"))).select("video_id", "frame_no", "box_idx", "x1", "y1", "x2", "y2")
+
+
 def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customers as videos with probe results, some of them missing; group_id is the camera's number, if known."""
     c = F.col("c_custkey")

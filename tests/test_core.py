@@ -139,22 +139,31 @@ def test_fill_equals_second_writing():
         assert got == simulate_fill(frames, 6, CFG)
 
 
-def test_balance():
-    got = sharding.balance([(i, w) for i, w in enumerate((7, 5, 4, 3, 1))], 2)
-    assert got == [(0, 0), (1, 1), (2, 1), (3, 0), (4, 1)]
+def balanced(weights, shards):
+    """Second writing: the lightest shard takes the next item."""
+    loads, out = [0] * shards, []
+    for item, weight in sorted(weights, key=lambda x: (-(x[1] or 0), x[0])):
+        k = loads.index(min(loads))
+        loads[k] += weight or 0
+        out.append((item, k))
+    return out
 
 
-def test_large_sharding_stays_even(spark):
-    items = spark.range(4000).select(F.col("id").alias("item_id"), (F.col("id") % 90 + 1).alias("weight"))
-    totals = [r[1] for r in sharding.assign_shards(items, 4, exact_rows=10).groupBy("shard_id").agg(F.sum("weight")).collect()]
-    assert len(totals) == 4 and max(totals) <= 4 / 3 * min(totals)
+def test_shards(spark):
+    rows = [(i, (i * 7919) % 90 + 1) for i in range(3000)] + [(3001, None), (3002, 0)]
+    for given in (rows, [(i, w) for i, w in enumerate((7, 5, 4, 3, 1))], [(5, 3), (5, 3), (5, 3), (6, 3)], []):
+        items = spark.createDataFrame(given, "item_id long, weight long")
+        got = sharding.assign_shards(items, 4)
+        assert got.columns == ["item_id", "weight", "shard_id"]
+        assert sorted((r["item_id"], r["shard_id"]) for r in got.collect()) == sorted(balanced(given, 4))
 
 
-def test_large_sharding_is_the_same_assignment(spark):
-    rows = [(i, (i * 7919) % 90 + 1) for i in range(3000)]
-    items = spark.createDataFrame(rows, "item_id long, weight long")
-    got = {r["item_id"]: r["shard_id"] for r in sharding.assign_shards(items, 5, exact_rows=10).collect()}
-    assert got == dict(sharding.balance(rows, 5))
+def test_passes():
+    assert [sharding.default_batch(n) for n in (640, 1920, 2560, 3840, 5120)] == [16, 8, 4, 3, 2]
+    one = sharding.detection_passes(config.configure(config.PlateConfig(), detect_batch_size=0))
+    assert len(one) == 1 and one[0]["batch"] == 1 and one[0]["augment"] is False
+    two = sharding.detection_passes(config.configure(config.TRUCK_PLATES, {"secondary_detection_enabled": True}))
+    assert [(p["imgsz"], p["conf"], p["augment"], p["batch"]) for p in two] == [(5120, 0.10, False, 1), (5120, 0.07, True, 1)]
 
 
 def test_cascade(spark):
@@ -301,15 +310,56 @@ def test_signature_and_ncc_disagreements_are_rejected(spark, sf_dir):
 def test_steps_resume(spark):
     rows = [("v", f, 0, 10.0 + f, 10.0, 50.0 + f, 40.0) for f in (1, 4, 9)]
     df = spark.createDataFrame(rows, "video_id string, frame_no int, box_idx int, x1 double, y1 double, x2 double, y2 double")
-    seen = []
-    steps.run_steps(steps.default_steps(), df, start=2, keep=lambda n, d: (seen.append(n), d)[1])
-    assert seen == [2, 4]
+    videos = spark.createDataFrame([("v", "/d/v.mp4", 1920, 1080), ("w", "/d/w.mp4", 1920, 1080)], "video_id string, path string, width int, height int")
+    matches = spark.createDataFrame([("v", "c")], "video_id string, camera_id string")
+    cameras = spark.sql("SELECT 'c' AS camera_id, 960 AS image_width, 540 AS image_height, array(named_struct('x1', 1, 'y1', 2, 'x2', 101, 'y2', 52)) AS boxes")
+    seen, asked = [], []
+    made = steps.default_steps(lambda k: (asked.append(k), df)[1], videos, matches, cameras)
+    out = steps.run_steps(made, start=2, keep=lambda n, d: (seen.append(n), d)[1]).collect()
+    assert seen == [2, 3, 4] and asked == [2, 4]
+    assert [(r["video_id"], r["frame_no"], r["x1"], r["y1"], r["x2"], r["y2"]) for r in out if r["step"] == 3] == [("v", None, 0, 0, 208, 110)]
+    assert {r["frame_no"] for r in out if r["step"] == 4} == set(range(1, 10))
+    with pytest.raises(ValueError):
+        steps.run_steps(made, start=5)
     assert steps.blur_plan(df, config.CAR_PLATES, 1920, 1080).count() == 3
 
 
+def test_cascade_of_matchers(spark):
+    videos = spark.createDataFrame([(i, i in (2, 3)) for i in range(1, 8)], "video_id int, masked boolean")
+    table = lambda rows: spark.createDataFrame(rows, "video_id int, camera_id string, score double")
+    fast, slow, best = table([(1, "x", 0.9), (2, "a", 0.8), (3, "a", 0.8), (4, "b", 0.7)]), table([(2, "a", 0.6), (3, "c", 0.6), (4, "z", 0.9), (5, "d", 0.5)]), table([(i, "f", 0.1) for i in range(1, 7)])
+    asked = []
+
+    def by(name, rows):
+        def run(df):
+            asked.append((name, sorted(r["video_id"] for r in df.collect())))
+            return rows.join(df.select("video_id"), "video_id", "left_semi")
+
+        return run
+
+    exact = spark.createDataFrame([(1, "e"), (2, None)], "video_id int, camera_id string")
+    got = {r["video_id"]: (r["camera_id"], r["method"], r["score"]) for r in matching.cascade(videos, exact, by("fast", fast), by("slow", slow), by("best", best)).collect()}
+    assert got == {1: ("e", "exact", None), 2: ("a", "agreed", 0.6), 3: (None, "none", None), 4: ("b", "fast", 0.7), 5: ("d", "ncc", 0.5), 6: ("f", "forced", 0.1), 7: (None, "none", None)}
+    assert asked == [("fast", [2, 3]), ("slow", [2, 3]), ("fast", [4, 5, 6, 7]), ("slow", [5, 6, 7]), ("best", [6, 7])]
+
+
 def test_config():
-    c = config.configure(CFG, {"imgsz": 99, "blur_radius": 3, "other": 1}, blur_radius=5, imgsz=None)
+    c = config.configure(CFG, {"imgsz": 99, "blur_radius": 3, "model_path": "x"}, blur_radius=5, imgsz=None)
     assert (c.imgsz, c.blur_radius) == (99, 5)
+    with pytest.raises(ValueError, match="other"):
+        config.configure(CFG, {"imgsz": 99, "other": 1})
+    assert config.configure(config.FaceConfig(), {"detection_conf_thresh": 0.2, "detect_batch_size": None}).conf == 0.2
+
+
+@pytest.mark.parametrize("name,default", [("CAR_PLATES", "car"), ("TRUCK_PLATES", "truck")])
+def test_config_file_values(tmp_path, name, default):
+    """Every setting of a step, written under the files' names, comes back as that step's settings."""
+    cfg = getattr(config, name)
+    to_file = {v: k for k, v in config.FILE_KEYS.items()}
+    lines = [f"{to_file.get(f, f)}: {'null' if v is None else v}" for f, v in vars(cfg).items()] + ["save_frames: False"]
+    (tmp_path / "step.yaml").write_text("\n".join(lines))
+    yaml = pytest.importorskip("yaml")
+    assert yaml and config.configure(config.PlateConfig(), config.load_yaml(str(tmp_path / "step.yaml"))) == cfg
 
 
 def test_stream_equals_batch(spark, tmp_path):
