@@ -581,8 +581,8 @@ def _cascade(spark, sf) -> DataFrame:
     """The match cascade over all videos; a video's first frame is the image of its number, if there is one."""
     v = A.videos(spark, sf).withColumn("masked", N.is_already_masked(F.col("path")))
     own = F.concat(F.lit("v"), F.col("video_id").cast("string"))
-    ncc = ncc_scores(spark, sf).select(own.alias("video_id"), F.col("camera_id").cast("string").alias("camera_id"), F.round("score", 9).alias("score"))
-    signed = signature_scores(spark, sf).select(own.alias("video_id"), F.col("camera_id").cast("string").alias("camera_id"), "score")
+    ncc = ncc_scores(spark, sf).select(own.alias("video_id"), F.col("camera_id").cast("string").alias("camera_id"), F.round("score", 9).alias("score")).persist()
+    signed = signature_scores(spark, sf).select(own.alias("video_id"), F.col("camera_id").cast("string").alias("camera_id"), "score").persist()
     cfg = config.OverlayConfig()
 
     def best(scores, least, margin):
