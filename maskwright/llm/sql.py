@@ -32,11 +32,17 @@ f AS (SELECT *, coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRE
 l AS (SELECT *, (total - capped)::DOUBLE / open::DOUBLE AS lev FROM f),
 m AS (SELECT *, (SELECT lev FROM l WHERE lev <= ratio ORDER BY ratio, lev LIMIT 1) AS level FROM l),
 t AS (SELECT source, source_size, least((3 * source_size)::DOUBLE, coalesce(level * weight, (3 * source_size)::DOUBLE)) AS target FROM m),
-r AS (SELECT c.doc_id, c.size, t.source_size, t.target,
-             CASE WHEN t.source_size > 0 THEN t.target / t.source_size::DOUBLE ELSE 0.0::DOUBLE END AS r,
-             row_number() OVER (PARTITION BY c.source ORDER BY cls, k, c.doc_id, c.size) AS n
-      FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source),
-e AS (SELECT *, (floor(n * r + {mixing.offset()}::DOUBLE) - floor((n - 1) * r + {mixing.offset()}::DOUBLE))::BIGINT AS copies FROM r)
+j AS (SELECT c.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size::DOUBLE ELSE 0.0::DOUBLE END AS r0,
+             c.size * {mixing.LARGE} > t.source_size AS large FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source),
+b AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC, k, doc_id) AS n FROM j WHERE large),
+bc AS (SELECT *, (floor(n * r0 + {mixing.offset()}::DOUBLE) - floor((n - 1) * r0 + {mixing.offset()}::DOUBLE))::BIGINT AS copies FROM b),
+bs AS (SELECT source, sum(copies * size)::BIGINT AS taken, sum(size)::BIGINT AS large_size FROM bc GROUP BY source),
+r AS (SELECT j.*, j.source_size - coalesce(bs.large_size, 0) AS words, coalesce(bs.taken, 0)::DOUBLE AS taken,
+             row_number() OVER (PARTITION BY j.source ORDER BY cls, k, j.doc_id, j.size) AS n
+      FROM j LEFT JOIN bs ON j.source IS NOT DISTINCT FROM bs.source WHERE NOT large),
+q2 AS (SELECT *, CASE WHEN words > 0 THEN least(greatest((target - taken) / words::DOUBLE, 0.0::DOUBLE), 3.0::DOUBLE) ELSE r0 END AS r2 FROM r),
+e AS (SELECT doc_id, size, source_size, target, copies FROM bc UNION ALL
+      SELECT doc_id, size, source_size, target, (floor(n * r2 + {mixing.offset()}::DOUBLE) - floor((n - 1) * r2 + {mixing.offset()}::DOUBLE))::BIGINT AS copies FROM q2)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM e""",
     "op10_license_scan": f"""
 WITH t(name, bg, lo, hi) AS (VALUES {_license_rows()}),

@@ -234,3 +234,37 @@ def test_pipeline_columns(spark):
         docs = stage(spark, docs, sf)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
     assert re.fullmatch(r"\w+", name)
+
+
+@pytest.mark.parametrize("name", ["op5_mixing", "op10_license_scan"])
+def test_queries_equal_their_sql(spark, sf_dir, name):
+    import duckdb
+
+    from maskwright.llm.sql import ORACLES
+
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    want = db.execute(ORACLES[name])
+    names = sorted(d[0] for d in want.description)
+    order = [[d[0] for d in want.description].index(n) for n in names]
+    got = getattr(queries, name)(spark, sf_dir)
+    assert sorted(got.columns) == names
+    assert sorted(map(repr, (tuple(r[n] for n in names) for r in got.collect()))) == sorted(map(repr, (tuple(r[i] for i in order) for r in want.fetchall())))
+
+
+def test_mix_keeps_columns_of_any_name_and_comes_near_its_targets(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(["w"] * (rng.randint(1, 60) if i % 50 else 900)), f"s{i % 3}" if i % 7 else None, "keepme", i, "a", 2) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_source string, mix_row long, `a.b` string, size int")
+    out = mixing.mix_documents(df)
+    assert out.columns == df.columns
+    got = out.collect()
+    plan = {r["doc_id"]: r for r in mixing.mix_plan(df).collect()}
+    by_id = {r[0]: r for r in rows}
+    taken: dict = {}
+    for r in got:
+        assert tuple(r) == by_id[r["doc_id"]]
+        taken[r["source"]] = taken.get(r["source"], 0) + len(r["text"].split())
+    for r in plan.values():
+        assert abs(taken[r["mix_source"]] / r["target"] - 1) < 0.02 and 0 <= r["copies"] <= 3
+    assert sum(r["copies"] for r in plan.values()) == len(got)
