@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -47,9 +49,37 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/mw-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    tidy(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Seconds between two calls of tidy() that do something.
+TIDY_EVERY = 2.0
+_tidied = 0.0
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let the driver collect its garbage and give native memory back to the system.
+
+    Shuffle files and broadcasts that nothing needs any more stay until the driver's JVM happens to
+    collect its garbage, and what its many threads have freed stays with them: a job of hundreds of
+    stages would fill disks and the driver's memory with them.
+    """
+    global _tidied
+    if time.monotonic() - _tidied < TIDY_EVERY:
+        return
+    gc.collect()
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    jvm.System.gc()
+    with contextlib.suppress(Exception):  # other JVMs have no such command
+        call = next(m for m in jvm.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        args = gateway.new_array(jvm.Object, 4)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        call.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    release()
+    _tidied = time.monotonic()
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the files of a table that cut() wrote and nothing reads any more."""
     spark = df.sparkSession

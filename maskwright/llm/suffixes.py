@@ -327,10 +327,14 @@ def _single_hits(pieces: DataFrame, longest: int) -> DataFrame:
     return strings.join(again, "sid").select("pid", start.alias("hits"), F.when(F.col("whole") & (F.col("weight") > 1), start).otherwise(none).alias("far"))
 
 
-def _hits(contents: DataFrame, length: int, longest: int, pieces_next: bool = True) -> DataFrame:
-    """(pid, hits, far) for contents(key, pid, content, place, n, weight) of groups of any size."""
+def _hits(contents: DataFrame, length: int, longest: int, tables: list[DataFrame], pieces_next: bool = True) -> DataFrame:
+    """(pid, hits, far) for contents(key, pid, content, place, n, weight) of groups of any size.
+
+    Tables that were written for it are added to `tables`.
+    """
     groups = contents.groupBy("key").agg(F.sum(F.length("content")).alias("bytes"), F.count("*").alias("rows"))
     sized = cut(contents.join(groups, "key"))
+    tables.append(sized)
     last = F.least(F.col("n"), F.length("content") - longest + 1)
     every = lambda k: F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>")).cast("array<int>")
     alone = sized.filter("rows = 1 AND weight > 1").select("pid", every(F.col("n")).alias("hits"), every(last).alias("far"))
@@ -339,7 +343,8 @@ def _hits(contents: DataFrame, length: int, longest: int, pieces_next: bool = Tr
     found = alone.unionByName(_sorted_groups(cold, length, longest))
     if hot.limit(1).count():
         pieces = cut(_pieces(hot, STEP if pieces_next else 1, length, longest))
-        deeper = _hits(_merged(pieces), length, longest, False) if pieces_next else _single_hits(pieces, longest)
+        tables.append(pieces)
+        deeper = _hits(_merged(pieces), length, longest, tables, False) if pieces_next else _single_hits(pieces, longest)
         moved = lambda c: F.transform(c, lambda s: s + F.col("off")).alias(c)
         hit = pieces.select("pid", "parent", "off").join(deeper, "pid").select(F.col("parent").alias("pid"), moved("hits"), moved("far"))
         gathered = lambda c: F.flatten(F.collect_list(c)).alias(c)
@@ -384,19 +389,17 @@ def removed_spans(docs: DataFrame, length: int, longest: int | None = None) -> t
     drop_cut(anchors)
 
     rows = cut(_runs_of(chosen.select("tkey", "text", "hs"), length, longest))
-    hits = cut(_hits(_merged(rows), length, longest))
+    hits = cut(_hits(_merged(rows), length, longest, done := []))
+    for old in done:
+        drop_cut(old)
 
     def spread(batches):
         for batch in batches:
-            keys, lists, far_lists = [], [], []
-            for tkey, starts, hit, far in zip(*(batch.column(c) for c in range(4))):
-                spans = [_around(x.values.to_numpy(), k) for x, k in ((hit, length), (far, longest))]
-                for s in starts.values.to_numpy():
-                    keys.append(tkey.as_py())
-                    lists.append(spans[0] + s)
-                    far_lists.append(spans[1] + s)
-            cuts = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(lists, cuts), pa.array(far_lists, cuts)], ["tkey", "cuts", "far_cuts"])
+            starts = batch.column(1)
+            owner = np.repeat(np.arange(len(starts)), starts.value_lengths().to_numpy())  # of each start, its row
+            moved = [_moved(*_around(batch.column(c), k), owner, starts.flatten().to_numpy()) for c, k in ((2, length), (3, longest))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), *moved], ["tkey", "cuts", "far_cuts"])
+        release()
 
     marks = rows.select("tkey", "starts", "pid").join(hits, "pid").select("tkey", "starts", "hits", "far").mapInArrow(spread, "tkey binary, cuts array<int>, far_cuts array<int>")
     gathered = lambda c: F.flatten(F.collect_list(c)).alias(c)
@@ -407,14 +410,28 @@ def removed_spans(docs: DataFrame, length: int, longest: int | None = None) -> t
     return base.join(texts.select("tkey", "copies"), "tkey"), spans
 
 
-def _around(starts: np.ndarray, length: int) -> np.ndarray:
-    """Begins and ends, alternately, of what strings of `length` bytes cover; spans that touch are one."""
-    if not len(starts):
-        return np.empty(0, np.int32)
-    starts = np.unique(starts)
-    edge = np.flatnonzero(np.diff(starts) > length) + 1
-    begin, end = starts[np.append(0, edge)], starts[np.append(edge - 1, len(starts) - 1)] + length
-    return np.stack([begin, end], 1).reshape(-1).astype(np.int32)
+def _around(starts: pa.ListArray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """What strings of `length` bytes at each row's starts cover: begins and ends side by side, and each row's number of spans.
+
+    Spans that touch are one.
+    """
+    row = np.repeat(np.arange(len(starts)), starts.value_lengths().to_numpy())
+    at = starts.flatten().to_numpy()
+    order = np.lexsort((at, row))
+    row, at = row[order], at[order]
+    new = np.append(True, (row[1:] != row[:-1]) | (np.diff(at) > length))[: len(at)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at))[: len(first)] - 1
+    return np.stack([at[first], at[last] + length], 1).astype(np.int32), np.bincount(row[first], minlength=len(starts))
+
+
+def _moved(spans: np.ndarray, per_row: np.ndarray, owner: np.ndarray, by: np.ndarray) -> pa.ListArray:
+    """For each start the spans of its row, moved by it, as begins and ends alternately."""
+    n = per_row[owner]
+    ends = np.cumsum(n)
+    which = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n) + np.repeat((np.cumsum(per_row) - per_row)[owner], n)
+    values = (spans[which] + np.repeat(by, n)[:, None]).astype(np.int32).reshape(-1)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, 2 * ends).astype(np.int32)), pa.array(values))
 
 
 def merge_cuts(cuts: np.ndarray) -> list[tuple[int, int]]:
