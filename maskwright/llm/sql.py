@@ -16,6 +16,13 @@ def _license_rows() -> str:
     return ",\n".join(rows)
 
 
+def _license_anchors() -> str:
+    rows = []
+    for name, text in sorted(licenses.TEMPLATES.items()):
+        rows += [f"('{name}', '{pair}', {place}, {len(licenses.words_of(text))})" for pair, place in licenses.anchors_of(text)]
+    return ", ".join(rows)
+
+
 ORACLES = {
     "op5_mixing": rf"""
 WITH d AS (
@@ -51,8 +58,14 @@ g AS (SELECT rn, unnest(list_concat(string_split(text, chr(10)), CASE WHEN conta
 c AS (SELECT rn, string_split(trim(regexp_replace(translate(seg, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM g),
 b AS (SELECT rn, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS bg FROM c WHERE len(w) > 1),
 x AS (SELECT rn, name, 2.0::DOUBLE * len(list_intersect(b.bg, t.bg)) / (len(b.bg) + len(t.bg))::DOUBLE AS dice FROM b, t WHERE len(b.bg) BETWEEN lo AND hi),
+an(name, pair, place, n) AS (VALUES {_license_anchors()}),
+wt AS (SELECT rn, string_split(trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM d),
+wp AS (SELECT rn, unnest(list_transform(range(1, len(w)), lambda i: {{'i': i - 1, 'p': w[i] || ' ' || w[i + 1]}})) AS x FROM wt),
+ws AS (SELECT DISTINCT rn, name, greatest(x.i - place, 0) AS s, n FROM wp JOIN an ON x.p = an.pair),
+wb AS (SELECT rn, name, list_distinct(list_transform(range(1, len(v)), lambda i: v[i] || ' ' || v[i + 1])) AS bg FROM (SELECT ws.rn, name, w[s + 1 : s + n] AS v FROM ws JOIN wt USING (rn))),
+xw AS (SELECT rn, name, 2.0::DOUBLE * len(list_intersect(wb.bg, t.bg)) / (len(wb.bg) + len(t.bg))::DOUBLE AS dice FROM wb JOIN t USING (name) WHERE len(wb.bg) BETWEEN lo AND hi),
 y AS (SELECT rn, arg_min(name, (-dice, name)) AS license, max(dice) AS dice, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses, count(*)::INTEGER AS n_matches
-      FROM x WHERE dice >= 0.75 GROUP BY rn)
+      FROM (FROM x UNION ALL FROM xw) WHERE dice >= 0.75 GROUP BY rn)
 SELECT d.doc_id, y.license, coalesce(y.dice, 0.0::DOUBLE) AS dice, coalesce(y.licenses, '') AS licenses, coalesce(y.n_matches, 0)::INTEGER AS n_matches
 FROM d LEFT JOIN y USING (rn)""",
 }

@@ -189,6 +189,41 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def brute_scan(text):
+    """(licence, Dice, names) by plain sets over lines, whole text and windows."""
+    found = []
+    whole = licenses.words_of(text or "")
+    pieces = [(licenses.words_of(line), None) for line in (text or "").split("\n")] + ([(whole, None)] if "\n" in (text or "") else [])
+    for name, template in licenses.TEMPLATES.items():
+        n = len(licenses.words_of(template))
+        starts = {max(0, i - place) for a, place in licenses.anchors_of(template) for i in range(len(whole) - 1) if f"{whole[i]} {whole[i + 1]}" == a}
+        pieces += [(whole[k : k + n], name) for k in starts]
+    for w, only in pieces:
+        b = {f"{x} {y}" for x, y in zip(w, w[1:])}
+        for name, template in licenses.TEMPLATES.items():
+            t = set(licenses.bigrams_of(template))
+            if b and only in (None, name) and 2 * len(b & t) / (len(b) + len(t)) >= licenses.LEAST:
+                found.append((-2 * len(b & t) / (len(b) + len(t)), name))
+    return (min(found)[1] if found else None, -min(found)[0] if found else 0.0, ",".join(sorted({n for _, n in found})), len(found))
+
+
+def test_licenses_wrapped_and_within_lines(spark):
+    rng = random.Random(3)
+    filler = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    wrapped = lambda t, k: "\n".join(" ".join(t.split()[i : i + k]) for i in range(0, len(t.split()), k))
+    names = list(licenses.TEMPLATES)
+    texts = [f"{filler(300)}\n# {wrapped(licenses.TEMPLATES[n], 9)}\n{filler(400)}" for n in names]
+    texts += [f"{filler(200)} {licenses.TEMPLATES[n]} {filler(250)}" for n in names]
+    texts += [licenses.TEMPLATES["MIT-text"].replace("Software", "Program"), f"{filler(60)} permission notice {filler(60)}", "permission notice", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = sorted(licenses.scan(df).collect())
+    for r, t in zip(got, texts):
+        name, dice, every, n = brute_scan(t)
+        assert (r["license"], r["licenses"], r["n_matches"]) == (name, every, n) and r["dice"] == pytest.approx(dice)
+    for k, n in enumerate(names):
+        assert n in got[k]["licenses"].split(",") and n in got[k + len(names)]["licenses"].split(",")
+
+
 def test_license_bounds():
     for n in range(1, 60):
         lo, hi = licenses.bounds(n)
