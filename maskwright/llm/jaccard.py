@@ -22,8 +22,9 @@ least similarity of 0.75 two documents link if d <= 0.25 = E. The steps:
    Regions that Voronoi cells can't divide (all members far from each other) are, after ROUNDS
    rounds, joined like this too, in pairs of blocks dealt over tasks.
 
-Nothing is dropped on the way, and no cap applies. Distances and links are exact; shingles are compared
-by 48-bit hashes, classes by 64 bits of their sets' digests.
+Nothing is dropped on the way, and no cap applies. Shingles are told apart by 48-bit hashes and
+classes by 64 bits of their sets' digests: of 1e10 different sets a few would be taken for one.
+Between such classes distances and links are exact.
 
 Null texts and texts without words have no shingles and link with nothing. A text of fewer words
 than a shingle is one shingle. Repeated rows are equal documents. An empty table gives no rows.
@@ -41,13 +42,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskwright.llm.common import components, cut, release, shared_dir, shingles
+from maskwright.llm.common import components, cut, drop_cut, release, shared_dir, shingles
 
 WIDTH = 5
 E = 0.25
 #: Tokens of a map block and of a count bucket (bounds memory of a task, not of the input).
 BLOCK_TOKENS = 800_000
 BUCKET_TOKENS = 1_500_000
+#: Bits of a shingle's hash that tell its bucket first.
+TOP_BITS = 16
+TOPS = 1 << TOP_BITS
 #: Members of a block, and of a region that is compared outright, in pairs of blocks; pivots drawn
 #: in a larger region, and rounds of that.
 BLOCK = 256
@@ -84,8 +88,11 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
     arrays of 32 low bits and a document number. Buckets find the shingles of several classes and
     send them back to the blocks.
     """
-    buckets = min(65536, max(8, math.ceil(total / BUCKET_TOKENS)))
-    bounds = (np.arange(buckets + 1, dtype=np.int64) * 65536 + buckets - 1) // buckets  # of the top 16 bits
+    wide = min(TOPS, max(8, math.ceil(total / BUCKET_TOKENS)))
+    bounds = (np.arange(wide + 1, dtype=np.int64) * TOPS + wide - 1) // wide  # of the top 16 bits
+    # a table of so many shingles that one value of the top bits has too many is cut by further bits
+    fine = max(1, math.ceil(total / TOPS / BUCKET_TOKENS))
+    buckets = wide * fine
     out_schema = "block long, bucket int, docs binary, counts binary, low binary, doc binary"
 
     def spread(batches):
@@ -102,22 +109,24 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
             digests = np.array([d for _, d in held], np.int64).tobytes()
             flat = np.concatenate([s for s, _ in held])
             doc = np.repeat(np.arange(len(held), dtype=np.uint16), n)
-            top = (flat >> np.uint64(48)).astype(np.uint16)
-            order = np.argsort(top, kind="stable")
-            per = np.bincount(top, minlength=65536)
-            low = ((flat >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)[order]
-            doc = doc[order]
+            top = (flat >> np.uint64(64 - TOP_BITS)).astype(np.int64)
+            low = (flat >> np.uint64(32 - TOP_BITS)) & np.uint64(0xFFFFFFFF)
+            part_of = ((low * np.uint64(fine)) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(top * fine + part_of, kind="stable")
+            per = np.bincount(top * fine + part_of, minlength=TOPS * fine)
+            low, doc = low.astype(np.uint32)[order], doc[order]
             at = np.concatenate([[0], np.cumsum(per)])
+            # with one part, a bucket is a range of the top bits; else it's a part of one value
+            cuts = at[bounds] if fine == 1 else at
             rows = {"block": [block], "bucket": [block % buckets], "docs": [n.tobytes() + digests], "counts": [None], "low": [None], "doc": [None]}
-            for k in range(buckets):
-                a, b = at[bounds[k]], at[bounds[k + 1]]
-                if b > a:
-                    rows["block"].append(block)
-                    rows["bucket"].append(k)
-                    rows["docs"].append(None)
-                    rows["counts"].append(per[bounds[k] : bounds[k + 1]].astype(np.uint32).tobytes())
-                    rows["low"].append(low[a:b].tobytes())
-                    rows["doc"].append(doc[a:b].tobytes())
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                a, b = cuts[k], cuts[k + 1]
+                rows["block"].append(block)
+                rows["bucket"].append(k)
+                rows["docs"].append(None)
+                rows["counts"].append((per[bounds[k] : bounds[k + 1]] if fine == 1 else per[k : k + 1]).astype(np.uint32).tobytes())
+                rows["low"].append(low[a:b].tobytes())
+                rows["doc"].append(doc[a:b].tobytes())
             held, tokens, seen = [], 0, set()
             types = [pa.int64(), pa.int32()] + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
@@ -140,7 +149,7 @@ def _shared_shingles(docs: DataFrame, total: int, width: int) -> DataFrame:
         bucket = table.column("bucket")[0].as_py()
         known = [(b, d) for b, d in zip(block.tolist(), table.column("docs").to_pylist()) if d is not None]
         blocks, tops, lows, docs_, sizes = [], [], [], [], []
-        span = np.arange(bounds[bucket], bounds[bucket + 1], dtype=np.uint64)
+        span = np.arange(bounds[bucket], bounds[bucket + 1], dtype=np.uint64) if fine == 1 else np.array([bucket // fine], np.uint64)
         for b, c, low, doc in zip(block.tolist(), *(table.column(x) for x in ("counts", "low", "doc"))):
             if c.is_valid:
                 c = np.frombuffer(c.as_buffer(), np.uint32)
@@ -246,7 +255,7 @@ def _bucketed(sets: DataFrame) -> tuple[DataFrame, str]:
     spark = sets.sparkSession
     name = f"mw_sets_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = sets.repartition(n, "set_id").write.bucketBy(n, "set_id").option("path", f"{shared_dir(spark)}/{name}")
+    writer = sets.repartition(n, "set_id").write.bucketBy(n, "set_id").option("path", f"{shared_dir(spark)}/mw-{name}")
     writer.format("parquet").saveAsTable(name)
     return spark.table(name), name
 
@@ -335,28 +344,50 @@ def similarity_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     found = cut(document_sets(docs, width))
     total = found.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     sets, name = _bucketed(_shared_shingles(docs, total, width))
+    try:
+        links = _links_of(sets)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # classes back to documents: the least doc_id stands for a class
+    classes = found.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+    a = classes.select(F.col("set_id").alias("x"), F.col("rep").alias("a"))
+    b = classes.select(F.col("set_id").alias("p"), F.col("rep").alias("b"))
+    comp = components(links.join(a, "x").join(b, "p").select("a", "b"))
+    drop_cut(links)
+    reps = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
+    return found.join(reps, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _links_of(sets: DataFrame) -> DataFrame:
+    """Links (x, p) that connect the classes of every component, as a table; the files of sets go."""
+    used = [sets]
+
+    def held(df):
+        used.append(cut(df))
+        return used[-1]
 
     # each class meets the least pivot of its rare shingles first; ids are hashes, so the least is any
     posts = sets.select(F.col("set_id").alias("x"), F.explode("prefix").alias("t"))
     tops = posts.groupBy("t").agg(F.count("*").alias("k"), F.min("x").alias("p")).filter("k > 1").select("t", "p")
-    posts = cut(posts.join(tops, "t"))
+    posts = held(posts.join(held(tops), "t"))
     first = posts.groupBy("x").agg(F.min("p").alias("p")).filter("x <> p")
-    links = cut(_distances(first, sets).filter("link").select("x", "p"))
+    links = held(_distances(first, sets).filter("link").select("x", "p"))
 
     # regions: the classes that share a rare shingle, around its pivot, where some aren't connected yet
     comp = components(links.select(F.col("x").alias("a"), F.col("p").alias("b")))
     known = posts.join(comp.withColumnRenamed("id", "x"), "x", "left").withColumn("comp", F.coalesce("component", "x"))
     open_ = known.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("t")
-    pairs = posts.join(open_, "t").filter("x <> p").select("x", "p").distinct()
-    near = cut(_distances(pairs, sets))
+    # counted shingles are tables of their own, so that Spark can split the joins at hot ones
+    pairs = posts.join(held(open_), "t").filter("x <> p").select("x", "p").distinct()
+    near = held(_distances(pairs, sets))
     links = links.unionByName(near.filter("link").select("x", "p"))
     members = near.select(F.xxhash64("p").alias("region"), "x", "d", "n")
 
     for turn in range(ROUNDS + 1):
         comp = components(links.select(F.col("x").alias("a"), F.col("p").alias("b")))
         labelled = members.join(comp.withColumnRenamed("id", "x"), "x", "left").withColumn("comp", F.coalesce("component", "x")).drop("component")
-        active = _in_windows(labelled)
-        active = cut(active.join(active.groupBy("region").agg(F.count("*").alias("size")), "region"))
+        active = held(_in_windows(labelled))
+        active = active.join(held(active.groupBy("region").agg(F.count("*").alias("size"))), "region")
         small = active if turn == ROUNDS else active.filter(F.col("size") <= OUTRIGHT)
         more = [_joined_outright(small.select("region", "x", "comp", "d"), sets)]
         large = active.filter(F.col("size") > OUTRIGHT) if turn < ROUNDS else None
@@ -365,8 +396,8 @@ def similarity_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             large = large.drop("comp")
             drawn = F.pmod(F.xxhash64("x", "region", F.lit(turn)), F.col("size")) < PIVOTS
             pivots = large.filter(drawn).select("region", F.col("x").alias("p"))
-            cells = cut(large.select("region", "x").join(pivots, "region").filter("x <> p"))
-            dist = cut(_distances(cells.select("x", "p").distinct(), sets))
+            cells = held(large.select("region", "x").join(pivots, "region").filter("x <> p"))
+            dist = held(_distances(cells.select("x", "p").distinct(), sets))
             cells = cells.join(dist.select("x", "p", "d", "n"), ["x", "p"])
             more.append(dist.filter("link").select("x", "p"))
             home = cells.groupBy("region", "x").agg(F.min(F.struct("d", "p")).alias("home"))
@@ -382,22 +413,18 @@ def similarity_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             whole = whole.join(dist.select("x", F.col("p").alias("one"), F.col("d").alias("to_one")), ["x", "one"]).select("region", "x", F.col("to_one").alias("d"), "n")
             # regions for which no pivot was drawn stay as they are
             none = large.select("region", "x", "d", "n").join(pivots.select("region").distinct(), "region", "left_anti")
-            members = cut(child.unionByName(whole).unionByName(none))
+            members = held(child.unionByName(whole).unionByName(none))
         new = more[0]
         for m in more[1:]:
             new = new.unionByName(m)
-        links = cut(links.unionByName(new).distinct())
+        links = held(links.unionByName(new).distinct())
         if not rest:
             break
 
-    # classes back to documents: the least doc_id stands for a class
-    classes = found.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    a = classes.select(F.col("set_id").alias("x"), F.col("rep").alias("a"))
-    b = classes.select(F.col("set_id").alias("p"), F.col("rep").alias("b"))
-    comp = components(links.join(a, "x").join(b, "p").select("a", "b"))
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files are the shared folder's
-    reps = classes.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
-    return found.join(reps, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    for old in used:
+        if old is not links:
+            drop_cut(old)
+    return links
 
 
 def keep_first(docs: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -332,9 +332,10 @@ def _hits(contents: DataFrame, length: int, longest: int, tables: list[DataFrame
 
     Tables that were written for it are added to `tables`.
     """
-    groups = contents.groupBy("key").agg(F.sum(F.length("content")).alias("bytes"), F.count("*").alias("rows"))
+    # a table of its own, so that Spark can split the join at hot keys
+    groups = cut(contents.groupBy("key").agg(F.sum(F.length("content")).alias("bytes"), F.count("*").alias("rows")))
     sized = cut(contents.join(groups, "key"))
-    tables.append(sized)
+    tables += [groups, sized]
     last = F.least(F.col("n"), F.length("content") - longest + 1)
     every = lambda k: F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>")).cast("array<int>")
     alone = sized.filter("rows = 1 AND weight > 1").select("pid", every(F.col("n")).alias("hits"), every(last).alias("far"))

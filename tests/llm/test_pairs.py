@@ -67,6 +67,14 @@ def test_jaccard_join_recursive(spark, monkeypatch):
     check_jaccard(spark, [(i, t, "clash", 1) for i, t in enumerate(near_texts(7, 60))])
 
 
+def test_jaccard_join_with_buckets_below_the_top_bits(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TOP_BITS", 3)
+    monkeypatch.setattr(jaccard, "TOPS", 8)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(jaccard, "BUCKET_TOKENS", 40)
+    check_jaccard(spark, [(i, t, "clash", 1) for i, t in enumerate(near_texts(11, 50))])
+
+
 def test_jaccard_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.similarity_classes(df).count() == 0
