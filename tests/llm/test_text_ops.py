@@ -271,14 +271,15 @@ def test_pipeline_columns(spark):
     assert re.fullmatch(r"\w+", name)
 
 
-@pytest.mark.parametrize("name", ["op5_mixing", "op10_license_scan"])
+@pytest.mark.parametrize("name", ["op1_ngram_jaccard", "op2_embedding_neardup", "op3_suffix_dedup", "op5_mixing", "op7_chat_format", "op10_license_scan"])
 def test_queries_equal_their_sql(spark, sf_dir, name):
     import duckdb
 
     from maskwright.llm.sql import ORACLES
 
     db = duckdb.connect()
-    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    for table in ("documents", "embeddings", "conversations"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     want = db.execute(ORACLES[name])
     names = sorted(d[0] for d in want.description)
     order = [[d[0] for d in want.description].index(n) for n in names]
