@@ -13,6 +13,8 @@ from maskwright.llm.common import _LOWER, mix, prefix_hash, release, span_hash,
 
 #: Bytes of text that are worked on at once.
 CHUNK = 1_500_000
+#: Labelled texts of more bytes are not fitted on, which bounds what meets in one task.
+FIT_BYTES = 200_000
 
 
 def fold(id_col, modulus: int):
@@ -24,9 +26,9 @@ def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
     """fit(rows, rate) on at most `limit` labelled documents outside the held-out fold, half of them of each label if there are enough.
 
     The choice is by a hash of the id, so it is the same on every run. Its size is bounded by the
-    parameter, so it may be broadcast and meet in one task, where the model is fitted; only the
-    model comes to the driver. rows are (text, label, lang) by id; repeated labels of an id count
-    once. rate is that of label 1 among all labels outside the fold.
+    parameter and FIT_BYTES, so it may be broadcast and meet in one task, where the model is fitted; only the
+    model comes to the driver. rows are (text, label, lang) by id; repeated labels and rows of an id count
+    once, by the least text. rate is that of label 1 among all labels outside the fold.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), modulus) != held_out)).groupBy("doc_id").agg(F.max(label).alias("y"))
     key = F.xxhash64("doc_id", F.lit(label))
@@ -45,7 +47,9 @@ def fit_on_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
         del rows, model
         release()
 
-    sample = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y"), "lang")
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    known = docs.select("doc_id", "text", lang.alias("lang")).filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_BYTES)
+    sample = known.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "y", "lang")).alias("r")).select("doc_id", "r.text", F.col("r.y").cast("int").alias("y"), "r.lang")
     found = sample.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(bytes(found[0][0])) if found else fit([], rate)
 

@@ -11,8 +11,11 @@ Scores are probabilities that label 1 holds. `thresholds` holds one per language
 the sample to catch the given share of toxic documents (a language with few labels has the common
 one). They're part of decisions (filter_toxic) only: language is never an input of a score.
 
-Null and empty texts are scored like a text without words (the network's bias). Repeated rows and
-ties score alike. Without labels of both kinds every score is 0.
+Null and empty texts are scored like a text without words (the network's bias). Texts of any length
+are scored whole, a few MB of words at a time per text. Repeated rows and
+ties score alike; rows without an id are scored and never held out. Without labels of both kinds, as with empty tables, every score is 0. An
+empty table of documents gives no rows. Further columns are ignored by score_documents() and kept
+by filter_toxic(), whatever their names; a missing or null lang has the common threshold.
 """
 
 from __future__ import annotations
@@ -73,7 +76,7 @@ class ToxicityNet:
         self.out = rng.normal(0, 0.1, len(WIDTHS) * FILTERS)
         self.out_bias = 0.0
         self.thresholds: dict[str | None, float] = {None: THRESHOLD}
-        self.tables = None
+        self.tables = self.rows_of = None
         self.scale = (1.0, 0.0)
         self.empty = False
 
@@ -179,7 +182,12 @@ class ToxicityNet:
     # -- scoring
 
     def _tabulate(self) -> None:
-        self.tables = [[(self.emb @ c[j]).astype(np.float32) for j in range(len(c))] for c in self.conv]
+        """Tables of the rows that were learned only; rows_of gives a row's place in them, 0 being that of all others."""
+        learned = np.flatnonzero(self.emb.any(1))
+        self.rows_of = np.zeros(ROWS, np.int32)
+        self.rows_of[learned] = np.arange(1, len(learned) + 1)
+        emb = np.vstack([np.zeros((1, DIM)), self.emb[learned]])
+        self.tables = [[(emb @ c[j]).astype(np.float32) for j in range(len(c))] for c in self.conv]
 
     def slim(self) -> ToxicityNet:
         """Without what only training needs."""
@@ -203,6 +211,7 @@ class ToxicityNet:
         out = np.zeros(len(column))
         for k, data, offsets in textmodel.chunks(column):
             rows, first = word_rows(data, offsets)
+            rows = self.rows_of[rows].astype(np.int64)
             n = len(offsets) - 1
             feats = np.zeros((n, len(WIDTHS) * FILTERS), np.float32)
             full = np.flatnonzero(first[1:] > first[:-1])
@@ -240,7 +249,7 @@ def filter_toxic(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Dat
     """
     net = train(docs, labels, limit)
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    at = docs.columns.index("text"), docs.columns.index("lang")
+    at = docs.columns.index("text"), docs.columns.index("lang") if "lang" in docs.columns else None
 
     def run(batches):
         import pyarrow as pa
@@ -248,7 +257,8 @@ def filter_toxic(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Dat
         for batch in batches:
             s = shared.value.score(batch.column(at[0]))
             limits = shared.value.thresholds
-            most = np.array([limits.get(x, limits[None]) for x in batch.column(at[1]).to_pylist()])
+            langs = [None] * batch.num_rows if at[1] is None else batch.column(at[1]).to_pylist()
+            most = np.array([limits.get(x, limits[None]) for x in langs])
             yield batch.filter(pa.array(s < most))
         textmodel.release()
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from maskwright.llm import bpe, chat, licenses, mixing, queries, spotsigs, textmodel
+from maskwright.llm import bpe, chat, licenses, mixing, queries, spotsigs, textmodel, toxicity
 from maskwright.llm.quality import PairwiseRanker
 from maskwright.llm.toxicity import ToxicityNet
 
@@ -242,7 +242,7 @@ def auc(s, y):
     return (rank[p].sum() - p.sum() * (p.sum() + 1) / 2) / p.sum() / (~p).sum()
 
 
-@pytest.mark.parametrize("query,modulus,fold,label,least", [("op4_toxicity", 4, 2, "toxic", 0.6), ("op9_quality", 3, 1, "quality", 0.95)])
+@pytest.mark.parametrize("query,modulus,fold,label,least", [("op4_toxicity", 4, 2, "toxic", 0.85), ("op9_quality", 3, 1, "quality", 0.95)])
 def test_classifiers_on_held_out_rows(spark, query, modulus, fold, label, least):
     sf = "/root/testdata/sf0.01"
     rows = {r["doc_id"]: r for r in getattr(queries, query)(spark, sf).collect()}
@@ -252,6 +252,24 @@ def test_classifiers_on_held_out_rows(spark, query, modulus, fold, label, least)
     assert auc(np.array([s for s, _ in held]), np.array([y for _, y in held])) > least
 
 
+def test_tabulated_scores_are_the_networks():
+    rng = random.Random(5)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(120)]
+    rows = []
+    for i in range(160):
+        words = [rng.choice(vocab) for _ in range(rng.randint(1, 40))] + (["Vile,", "slur"] if i % 3 == 0 else [])
+        rows.append((" ".join(words), int(i % 3 == 0), "en"))
+    net = ToxicityNet().fit(rows, 0.3)
+    texts = [r[0] for r in rows[:40]] + ["", None, "unseen qqq zzz", "a", "(vile) slur!!"]
+    column = textmodel.as_column(texts)
+    plain = []
+    for t in texts:
+        words, _ = toxicity.word_rows(*textmodel.text_bytes(textmodel.as_column([t])))
+        plain.append(float(net._pool(words)[0] @ net.out + net.out_bias))
+    assert np.allclose(net._raw(column), plain, atol=1e-3)
+    assert np.allclose(net.slim().score(column), 1 / (1 + np.exp(-np.clip(net.scale[0] * np.array(plain) + net.scale[1], -30, 30))), atol=1e-3)
+
+
 def test_models_take_anything():
     column = textmodel.as_column(["", None, "w " * 30000, "éé"])
     rows = [("bad idiot text " * 5, 1, "en"), ("fine calm text " * 5, 0, "en")] * 60
