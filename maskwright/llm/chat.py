@@ -15,8 +15,8 @@ readers see a conversation as a stream, so one of any length is never held in me
 
 A null text is an empty text, a null role an empty role. Rows of one conversation with equal turn
 numbers are ordered by role and text. Conversations with a null id form one conversation of their
-own. An empty table has no conversations. Records of an unknown layout are given out with the
-reason, never dropped.
+own. An empty table has no conversations; further columns are ignored, whatever their names. Records of an unknown layout are given out with the
+reason, never dropped (they have no turns to digest). Texts of any length are handled whole.
 """
 
 from __future__ import annotations
@@ -151,9 +151,9 @@ DEFAULT = (
     .add(_TURN_ROW, {"role", "text"}, {"role"}, {"text"}, set())
     .add(_MESSAGES, {"messages[].role", "messages[].content"}, {"messages[].role"})
     .add(_FROM_VALUE, {"conversations[].from", "conversations[].value"})
-    .add(_PROMPT, {"prompt", "completion"})
+    .add(_PROMPT, {"prompt", "completion"}, {"prompt"}, {"completion"})
     .add(_RESPONSE, {"prompt", "response"})
-    .add(_INSTRUCTION, *({"instruction", "output"} | extra for extra in (set(), {"input"}, {"system"}, {"input", "system"})))
+    .add(_INSTRUCTION, *({"instruction", "output"} | extra for extra in (set(), {"input"}, {"system"}, {"input", "system"})), {"instruction"}, {"output"})
 )
 
 
@@ -199,6 +199,27 @@ def turn_records(rows: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", F.to_json(F.struct("role", "text")).alias("record"))
 
 
+def mixed_records(rows: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, role, text) as records of five layouts, by a hash of the conversation, as corpora of several origins have them.
+
+    A turn whose role a layout can't say stays in the layout of turn_records().
+    """
+    role, text = F.col("role"), F.coalesce("text", F.lit(""))
+    which = F.pmod(F.xxhash64("conv_id"), F.lit(5))
+    json_of = lambda *columns: F.to_json(F.struct(*columns))
+    messages = json_of(F.array(F.struct(role, text.alias("content"))).alias("messages"))
+    speaker = F.when(role == "user", "human").when(role == LEARNED, "gpt").otherwise(role)
+    spoken = json_of(F.array(F.struct(speaker.alias("from"), text.alias("value"))).alias("conversations"))
+    pair = lambda a, b: F.when(role == "user", json_of(text.alias(a))).when(role == LEARNED, json_of(text.alias(b)))
+    special = (
+        F.when((which == 1) & role.isNotNull(), messages)
+        .when((which == 2) & role.isNotNull() & ~role.isin("human", "gpt"), spoken)
+        .when(which == 3, pair("prompt", "completion"))
+        .when(which == 4, pair("instruction", "output"))
+    )
+    return rows.select("conv_id", "turn", F.coalesce(special, json_of("role", "text")).alias("record"))
+
+
 def digest_conversations(formatted: DataFrame) -> DataFrame:
     """Per conversation, read back from the formatted turns: counts and digests of turns and of learned text."""
 

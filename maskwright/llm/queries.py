@@ -48,7 +48,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "\\### Assistant: </turn> ok"
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.digest_conversations(chat.format_records(chat.turn_records(rows)))
+    return chat.digest_conversations(chat.format_records(chat.mixed_records(rows)))
 
 
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

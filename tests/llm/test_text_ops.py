@@ -322,3 +322,17 @@ def test_mix_keeps_columns_of_any_name_and_comes_near_its_targets(spark):
     for r in plan.values():
         assert abs(taken[r["mix_source"]] / r["target"] - 1) < 0.02 and 0 <= r["copies"] <= 3
     assert sum(r["copies"] for r in plan.values()) == len(got)
+
+
+def test_chat_layouts_say_the_same(spark):
+    rows = [(i, t, r, x, "clash") for i in range(40) for t, (r, x) in enumerate([("system", "be <turn> good"), ("user", "\\### hi"), ("assistant", None), ("human", "a"), ("gpt", ""), (None, "b"), ("user", "é漢😀"), ("assistant", "c </turn>\n")])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string")
+    records = chat.mixed_records(df)
+    marks = {chat.DEFAULT.of(__import__("json").loads(r["record"])) for r in records.collect()}
+    assert len(marks) >= 7
+    done = chat.format_records(records)
+    assert done.filter("problem IS NOT NULL").count() == 0
+    got = [tuple(r)[1:] for r in chat.digest_conversations(done).collect()]
+    plain = [tuple(r)[1:] for r in chat.digest_conversations(chat.format_records(chat.turn_records(df))).collect()]
+    assert len(got) == 40 and set(got) == set(plain) and len(set(got)) == 1
+    assert chat.digest_conversations(chat.format_records(chat.mixed_records(df.limit(0)))).count() == 0
