@@ -25,6 +25,10 @@ def _measures(r):
     return (r[0] + r[2]) / 2, (r[1] + r[3]) / 2, max(1.0, r[2] - r[0], r[3] - r[1])
 
 
+def _distance(ax, ay, bx, by) -> float:
+    return math.sqrt((bx - ax) * (bx - ax) + (by - ay) * (by - ay))
+
+
 def overlap(a, b) -> float:
     inter = max(0.0, min(a[2], b[2]) - max(a[0], b[0])) * max(0.0, min(a[3], b[3]) - max(a[1], b[1]))
     if inter <= 0:
@@ -37,7 +41,7 @@ def is_repeat(regions, candidate, min_iou, max_distance) -> bool:
     x, y, side = _measures(candidate)
     for r in regions:
         ex, ey, _ = _measures(r)
-        if overlap(r, candidate) >= min_iou or math.hypot(ex - x, ey - y) / side <= max_distance:
+        if overlap(r, candidate) >= min_iou or _distance(ex, ey, x, y) / side <= max_distance:
             return True
     return False
 
@@ -50,7 +54,7 @@ def pair_greedily(before, after, gaps, reach, min_iou, growth):
         gap = max(1, gaps[i])
         for j, c in enumerate(after):
             cx, cy, cs = _measures(c)
-            far = math.hypot(cx - px, cy - py) / max(ps, cs)
+            far = _distance(px, py, cx, cy) / max(ps, cs)
             same = overlap(p, c)
             if same >= min_iou or far <= reach + (gap - 1) * growth:
                 ranked.append((same, -far, -gap, i, j))

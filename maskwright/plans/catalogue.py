@@ -9,7 +9,7 @@ from maskwright import config
 from maskwright.functions import geometry as G
 from maskwright.functions import names as N
 from maskwright.operators import labels, matching, pixels, sharding, temporal
-from maskwright.plans import steps
+from maskwright.plans import fold_sql, steps
 from maskwright.sources import adapters as A
 
 QUERIES: dict = {}
@@ -42,7 +42,6 @@ def plain6() -> list:
 
 
 DET = "WITH " + A.DETECTIONS_SQL
-ONE = DET + ", one AS (SELECT * FROM det WHERE box_idx = 0)"
 R = "round({0}, 6) AS {1}"
 IOU = """(CASE WHEN greatest(0.0, least({a}.x2, {b}.x2) - greatest({a}.x1, {b}.x1)) * greatest(0.0, least({a}.y2, {b}.y2) - greatest({a}.y1, {b}.y1)) > 0 THEN
  greatest(0.0, least({a}.x2, {b}.x2) - greatest({a}.x1, {b}.x1)) * greatest(0.0, least({a}.y2, {b}.y2) - greatest({a}.y1, {b}.y1)) /
@@ -74,75 +73,55 @@ def faces_gap_fill_nearest(spark, sf):
     return temporal.fill_face_gaps(det(spark, sf), 5, "nearest").select("video_id", "frame_no", "box_idx", "origin", *plain6())
 
 
-@query(ONE + """, n AS (SELECT *, lead(frame_no) OVER (PARTITION BY video_id ORDER BY frame_no) AS nf FROM one)
+@query(DET + """, f AS (SELECT DISTINCT video_id, frame_no FROM det), n AS (SELECT *, lead(frame_no) OVER (PARTITION BY video_id ORDER BY frame_no) AS nf FROM f)
 SELECT video_id, frame_no, nf AS next_frame, (nf - frame_no - 1)::INTEGER AS gap FROM n WHERE nf - frame_no - 1 BETWEEN 1 AND 18""")
 def frame_gaps(spark, sf):
     w = Window.partitionBy("video_id").orderBy("frame_no")
-    d = A.single(det(spark, sf)).withColumn("next_frame", F.lead("frame_no").over(w))
+    d = det(spark, sf).select("video_id", "frame_no").distinct().withColumn("next_frame", F.lead("frame_no").over(w))
     return d.withColumn("gap", F.col("next_frame") - F.col("frame_no") - 1).filter("gap BETWEEN 1 AND 18").select("video_id", "frame_no", "next_frame", "gap")
 
 
-_W4 = ONE + """,
-n AS (SELECT *, {leads}, lead(frame_no) OVER w AS nf FROM one WINDOW w AS (PARTITION BY video_id ORDER BY frame_no)),
-g AS (SELECT *, unnest(range(frame_no + 1, nf)) AS fr FROM n WHERE nf - frame_no - 1 BETWEEN 1 AND 18),
-i AS (SELECT *, (fr - frame_no)::DOUBLE / (nf - frame_no)::DOUBLE AS t FROM g)
-SELECT video_id, frame_no, x1, y1, x2, y2 FROM one UNION ALL SELECT video_id, fr::INTEGER, {cols} FROM i"""
 _LEADS = ", ".join(f"lead({c}) OVER w AS n{c}" for c in _BOX)
+_EXPANDED = """x AS (SELECT video_id, frame_no, (x1 + x2) / 2 AS cx, (y1 + y2) / 2 AS cy,
+ greatest(x2 - x1 + 8, (x2 - x1) * 1.3, 30) AS w, greatest(y2 - y1 + 8, (y2 - y1) * 1.3, 16) AS h FROM one),
+z AS (SELECT video_id, frame_no, least(greatest(0.0, cx - w / 2), 1920) AS x1, least(greatest(0.0, cy - h / 2), 1080) AS y1,
+ least(greatest(0.0, cx + w / 2), 1920) AS x2, least(greatest(0.0, cy + h / 2), 1080) AS y2 FROM x)"""
 
 
-@query(_W4.format(leads=_LEADS, cols=", ".join(f"round({c} + (n{c} - {c}) * t, 6)" for c in _BOX)))
-def tracked_gap_fill_single(spark, sf):
-    return temporal.temporal_folds(A.single(det(spark, sf)), config.CAR_PLATES, ("fill",)).select("video_id", "frame_no", *plain6())
-
-
-@query(_W4.format(leads=_LEADS, cols=", ".join(f"CASE WHEN t <= 0.5 THEN {c} ELSE n{c} END" for c in _BOX)))
-def tracked_gap_fill_nearest_single(spark, sf):
-    cfg = config.configure(config.CAR_PLATES, gap_fill_mode="nearest")
-    return temporal.temporal_folds(A.single(det(spark, sf)), cfg, ("fill",)).select("video_id", "frame_no", *plain6())
+_MULTI = DET.replace("WITH ", "WITH RECURSIVE ") + ", " + fold_sql.packed("det", "pk") + ", "
 
 
-@query(ONE + """, n AS (SELECT *, lead(frame_no) OVER (PARTITION BY video_id ORDER BY frame_no) AS nf FROM one),
-c AS (SELECT *, unnest(range(frame_no, least(frame_no + 4, coalesce(nf - 1, frame_no + 4)) + 1)) AS fr FROM n)
-SELECT video_id, fr::INTEGER AS frame_no, x1, y1, x2, y2 FROM c""")
-def carry_forward_single(spark, sf):
-    return temporal.temporal_folds(A.single(det(spark, sf)), config.CAR_PLATES, ("carry",)).select("video_id", "frame_no", *plain6())
+def halves_up(df: DataFrame) -> DataFrame:
+    """Rows of boxes rounded to 6 digits; halves of any digits occur."""
+    return df.select("video_id", "frame_no", "box_idx", *[(F.floor(F.col(c) * 1e6 + 0.5).cast("double") / 1e6).alias(c) for c in _BOX])
 
 
-_EXPANDED = """x AS (SELECT video_id, frame_no, (x1 + x2) / 2 AS cx, (y1 + y2) / 2 AS cy,
- greatest(x2 - x1 + 8, (x2 - x1) * 1.3, 30) AS w, greatest(y2 - y1 + 8, (y2 - y1) * 1.3, 16) AS h FROM one),
-z AS (SELECT video_id, frame_no, least(greatest(0.0, cx - w / 2), 1920) AS x1, least(greatest(0.0, cy - h / 2), 1080) AS y1,
- least(greatest(0.0, cx + w / 2), 1920) AS x2, least(greatest(0.0, cy + h / 2), 1080) AS y2 FROM x)"""
+def _folds_sql() -> str:
+    c = config.CAR_PLATES
+    return _DEDUPED + ", dd AS (SELECT video_id, frame_no, acc AS boxes FROM d), " + ", ".join([fold_sql.fill("fl", "dd", c), fold_sql.carry("cf", "fl", c), fold_sql.stabilize("sb", "cf", c, W, H)]) + " " + fold_sql.rows("sb")
 
 
-@query("WITH RECURSIVE " + ONE[5:] + ", " + _EXPANDED + """,
-q AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY frame_no) AS n FROM z),
-s AS (SELECT video_id, frame_no, n, x1, y1, x2, y2 FROM q WHERE n = 1
- UNION ALL SELECT q.video_id, q.frame_no, q.n, s.x1 * 0.5::DOUBLE + q.x1 * 0.5::DOUBLE, s.y1 * 0.5::DOUBLE + q.y1 * 0.5::DOUBLE, s.x2 * 0.5::DOUBLE + q.x2 * 0.5::DOUBLE, s.y2 * 0.5::DOUBLE + q.y2 * 0.5::DOUBLE
- FROM s JOIN q ON q.video_id = s.video_id AND q.n = s.n + 1)
-SELECT video_id, frame_no, """ + ", ".join(f"floor({c} * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS {c}" for c in _BOX) + " FROM s")
-def stabilize_single(spark, sf):
-    done = temporal.temporal_folds(A.single(det(spark, sf)), config.CAR_PLATES, ("stabilize",))
-    return done.select("video_id", "frame_no", *[(F.floor(F.col(c) * 1e6 + 0.5).cast("double") / 1e6).alias(c) for c in _BOX])  # halves of any digits occur
+@query(_MULTI + fold_sql.fill("fl", "pk", config.TRUCK_PLATES) + " " + fold_sql.rows("fl"))
+def tracked_gap_fill_multi(spark, sf):
+    return halves_up(temporal.temporal_folds(det(spark, sf), config.TRUCK_PLATES, ("fill",)))
 
 
-@query()
-def temporal_folds_multi(spark, sf):
-    return steps.plate_regions(det(spark, sf), config.CAR_PLATES).select("video_id", "frame_no", "box_idx", *plain6())
+_NEAREST = config.configure(config.TRUCK_PLATES, gap_fill_mode="nearest")
 
 
-@query()
-def tracked_gap_fill_multi(spark, sf):
-    return temporal.temporal_folds(det(spark, sf), config.TRUCK_PLATES, ("fill",)).select("video_id", "frame_no", "box_idx", *plain6())
+@query(_MULTI + fold_sql.fill("fl", "pk", _NEAREST) + " " + fold_sql.rows("fl"))
+def tracked_gap_fill_nearest_multi(spark, sf):
+    return halves_up(temporal.temporal_folds(det(spark, sf), _NEAREST, ("fill",)))
 
 
-@query()
+@query(_MULTI + fold_sql.carry("cf", "pk", config.TRUCK_PLATES) + " " + fold_sql.rows("cf"))
 def carry_forward_multi(spark, sf):
-    return temporal.temporal_folds(det(spark, sf), config.TRUCK_PLATES, ("carry",)).select("video_id", "frame_no", "box_idx", *plain6())
+    return halves_up(temporal.temporal_folds(det(spark, sf), config.TRUCK_PLATES, ("carry",)))
 
 
-@query()
+@query(_MULTI + fold_sql.stabilize("sb", "pk", config.TRUCK_PLATES, W, H) + " " + fold_sql.rows("sb"))
 def stabilize_multi(spark, sf):
-    return temporal.temporal_folds(det(spark, sf), config.TRUCK_PLATES, ("stabilize",)).select("video_id", "frame_no", "box_idx", *plain6())
+    return halves_up(temporal.temporal_folds(det(spark, sf), config.TRUCK_PLATES, ("stabilize",)))
 
 
 # --- geometry --------------------------------------------------------------------------------------
@@ -203,13 +182,13 @@ def kernels_and_radii(spark, sf):
     return det(spark, sf).select("video_id", "frame_no", "box_idx", G.odd_kernel(F.col("box_idx") + 30, 3).cast("int").alias("kernel"), luma.cast("int").alias("luma"), chroma.cast("int").alias("chroma"), r6(G.allowed_distance(2.0, F.col("frame_no"), 0.75), "allowed"))
 
 
-@query(ONE + """, n AS (SELECT *, """ + _LEADS + """ FROM one WINDOW w AS (PARTITION BY video_id ORDER BY frame_no))
-SELECT video_id, frame_no, """ + ", ".join(f"round({c} + (n{c} - {c}) * 0.25::DOUBLE, 6) AS i{c}, round({c} * (1 - 0.45::DOUBLE) + n{c} * 0.45::DOUBLE, 6) AS s{c}" for c in _BOX) + " FROM n WHERE nx1 IS NOT NULL")
+@query(DET + """, n AS (SELECT *, """ + _LEADS + """ FROM det WINDOW w AS (PARTITION BY video_id, box_idx ORDER BY frame_no))
+SELECT video_id, frame_no, box_idx, """ + ", ".join(f"round({c} + (n{c} - {c}) * 0.25::DOUBLE, 6) AS i{c}, round({c} * (1 - 0.45::DOUBLE) + n{c} * 0.45::DOUBLE, 6) AS s{c}" for c in _BOX) + " FROM n WHERE nx1 IS NOT NULL")
 def interpolate_and_smooth(spark, sf):
-    w = Window.partitionBy("video_id").orderBy("frame_no")
-    d = A.single(det(spark, sf)).select("video_id", "frame_no", F.struct(*_BOX).alias("b")).withColumn("c", F.lead("b").over(w)).filter("c IS NOT NULL")
+    w = Window.partitionBy("video_id", "box_idx").orderBy("frame_no")
+    d = det(spark, sf).select("video_id", "frame_no", "box_idx", F.struct(*_BOX).alias("b")).withColumn("c", F.lead("b").over(w)).filter("c IS NOT NULL")
     d = d.withColumns({"i": G.interpolate(F.col("b"), F.col("c"), F.lit(0.25)), "s": G.smooth(F.col("b"), F.col("c"), 0.45)})
-    return d.select("video_id", "frame_no", *[r6(F.col(f"{k}.{n}"), k + n) for n in _BOX for k in ("i", "s")])
+    return d.select("video_id", "frame_no", "box_idx", *[r6(F.col(f"{k}.{n}"), k + n) for n in _BOX for k in ("i", "s")])
 
 
 @query("WITH " + A.CAMERAS_SQL + """, p AS (SELECT camera_id, list_transform(boxes, lambda b: [[b.x1 + 0.5::DOUBLE, b.y1::DOUBLE], [b.x2 + 1.5::DOUBLE, b.y1 + 2.5::DOUBLE], [b.x1::DOUBLE + 3, b.y2 + 0.5::DOUBLE]]) AS shapes FROM cam),
@@ -274,17 +253,25 @@ _SIM = """CASE WHEN len(list_filter(acc, lambda e:
  OR sqrt(((e.x1 + e.x2) / 2 - (c.x1 + c.x2) / 2) ** 2 + ((e.y1 + e.y2) / 2 - (c.y1 + c.y2) / 2) ** 2) / greatest(1.0, c.x2 - c.x1, c.y2 - c.y1) <= 0.75)) > 0 THEN acc ELSE list_append(acc, c) END"""
 
 
-@query(DET.replace("WITH ", "WITH RECURSIVE ") + """,
+_DEDUPED = DET.replace("WITH ", "WITH RECURSIVE ") + """,
 o AS (SELECT video_id, frame_no, list({'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2} ORDER BY round((x1 + x2) / 2, 3), round((y1 + y2) / 2, 3), box_idx) AS b FROM det GROUP BY ALL),
 k AS (SELECT video_id, frame_no, b, 1 AS n, [b[1]] AS acc FROM o
  UNION ALL SELECT video_id, frame_no, b, n + 1, """ + _SIM.replace("c.", "b[n + 1].").replace("list_append(acc, c)", "list_append(acc, b[n + 1])") + """ FROM k WHERE n < len(b)),
-d AS (SELECT video_id, frame_no, acc FROM k WHERE n = len(b)), u AS (SELECT video_id, frame_no, acc, unnest(range(1, len(acc) + 1)) AS i FROM d)
+d AS (SELECT video_id, frame_no, acc FROM k WHERE n = len(b))"""
+
+
+@query(_DEDUPED + """, u AS (SELECT video_id, frame_no, acc, unnest(range(1, len(acc) + 1)) AS i FROM d)
 SELECT video_id, frame_no, (i - 1)::INTEGER AS box_idx, acc[i].x1 AS x1, acc[i].y1 AS y1, acc[i].x2 AS x2, acc[i].y2 AS y2 FROM u""")
 def frame_dedupe(spark, sf):
     c = config.CAR_PLATES
     return labels.dedupe_frames(det(spark, sf), c.frame_dedupe_iou, c.frame_dedupe_distance)
 
 
+@query(_folds_sql())
+def temporal_folds_multi(spark, sf):
+    return halves_up(steps.plate_regions(det(spark, sf), config.CAR_PLATES))
+
+
 @query(DET + " SELECT video_id, frame_no, (row_number() OVER (PARTITION BY video_id, frame_no ORDER BY round((x1 + x2) / 2, 3), round((y1 + y2) / 2, 3), box_idx) - 1)::INTEGER AS place, box_idx FROM det")
 def centre_order(spark, sf):
     b = F.struct(*_BOX)

@@ -35,11 +35,6 @@ e1 AS (SELECT *, (row_number() OVER (PARTITION BY video_id, frame_no ORDER BY ev
 det AS (SELECT video_id, frame_no, box_idx, class_id, x1, y1, x1 + floor(value / 8) + 10 AS x2, y1 + floor(value / 12) + 6 AS y2 FROM e1)"""
 
 
-def single(df: DataFrame) -> DataFrame:
-    """The first box of each frame only."""
-    return df.filter("box_idx = 0")
-
-
 def step_detections(spark: SparkSession, sf_dir: str, step: int) -> DataFrame:
     """What a step's detector finds: a third of the event types each; its videos are those of videos()."""
     d = detections(spark, sf_dir).filter(F.col("class_id") % 3 == {1: 0, 2: 1, 4: 2}[step])
