@@ -129,7 +129,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                     yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(who), pa.array(table)], ["key", "id", "tab"])
 
     keys = cut(classes.select("id", "vec").mapInArrow(bucket, "key long, id long, tab int"))
-    full = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    # a table of its own, so that Spark can split the join at hot buckets
+    full = cut(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int")
     members = keys.join(full, "key").withColumn("parts", parts).withColumn("own", own)
