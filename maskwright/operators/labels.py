@@ -9,14 +9,14 @@ from maskwright.functions import geometry as G
 from maskwright.functions import names as N
 
 
-def parse(lines: DataFrame) -> DataFrame:
+def parse(lines: DataFrame, *keep: str) -> DataFrame:
     """lines(path, box_idx, value) with their video, frame, numbers and a status; nothing is dropped."""
     t = F.split(F.trim("value"), r"\s+")
     number = lambda i: F.get(t, F.lit(i)).try_cast("double")
     rows = lines.select(
         N.video_of_label(F.col("path")).alias("video_id"), N.frame_number(F.col("path")).alias("frame_no"), "box_idx",
         F.get(t, F.lit(0)).try_cast("int").alias("class_id"), number(1).alias("cx"), number(2).alias("cy"), number(3).alias("bw"), number(4).alias("bh"),
-        F.size(t).alias("tokens"), (F.trim("value") == "").alias("blank"),
+        F.size(t).alias("tokens"), (F.trim("value") == "").alias("blank"), *keep,
     )
     bad = F.col("cx").isNull() | F.col("cy").isNull() | F.col("bw").isNull() | F.col("bh").isNull()
     status = F.when(F.col("blank"), "blank").when(F.col("frame_no").isNull(), "bad frame").when(F.col("tokens") < 5, "too few tokens").when(bad, "bad number").otherwise("ok")
@@ -27,6 +27,19 @@ def detections(lines: DataFrame) -> DataFrame:
     return parse(lines).filter("status = 'ok'").drop("status")
 
 
+def face_detections(lines: DataFrame) -> DataFrame:
+    """Label lines for faces: a file counts for the video that its name gives without the frame number, and
+    for a video of the file's whole name; both, without distinct. Which videos there are decides a later join."""
+    parsed = parse(lines.withColumn("file", N.stem(F.col("path"))), "file").filter("status = 'ok'").drop("status")
+    return parsed.drop("file").unionByName(parsed.drop("video_id").withColumnRenamed("file", "video_id"))
+
+
+def confident(rows: DataFrame, passes: DataFrame) -> DataFrame:
+    """rows(pass_name, score, ...) of at least their pass's threshold, from passes(pass_name, conf)."""
+    limits = passes.select("pass_name", "conf").distinct()
+    return rows.join(limits, "pass_name").filter(F.col("score") >= F.col("conf")).drop("conf")
+
+
 def rejected(lines: DataFrame) -> DataFrame:
     return parse(lines).filter("status <> 'ok'").select("video_id", "frame_no", "box_idx", "status")
 
@@ -82,3 +95,19 @@ def join_frames(frames: DataFrame, regions: DataFrame) -> DataFrame:
 def summary(regions: DataFrame) -> DataFrame:
     """Counts per video."""
     return regions.groupBy("video_id").agg(F.countDistinct("frame_no").alias("frames_detected"), F.count("*").alias("boxes"), F.min("frame_no").alias("first_frame"), F.max("frame_no").alias("last_frame"))
+
+
+def run_counts(regions: DataFrame) -> DataFrame:
+    """Per video: frames, and boxes and frames by origin, of regions(video_id, frame_no, origin)."""
+    of = lambda origin: F.col("origin") == origin
+    frames = lambda origin: F.countDistinct(F.when(of(origin), F.col("frame_no")))
+    return regions.groupBy("video_id").agg(
+        F.countDistinct("frame_no").alias("frames"), F.count_if(of("detected")).alias("detected"), F.count_if(of("filled")).alias("filled"),
+        frames("detected").alias("frames_detected"), frames("filled").alias("frames_filled"),
+    )
+
+
+def frame_counts(frames: DataFrame, regions: DataFrame) -> DataFrame:
+    """Per video the frames there are, and those with boxes."""
+    joined = join_frames(frames, regions)
+    return joined.groupBy("video_id").agg(F.count("*").alias("frames"), F.count_if(F.size("boxes") > 0).alias("frames_with_regions"))

@@ -9,7 +9,7 @@ from maskwright import config
 from maskwright.functions import geometry as G
 from maskwright.functions import names as N
 from maskwright.operators import labels, matching, pixels, sharding, temporal
-from maskwright.plans import fold_sql, steps
+from maskwright.plans import commands, fold_sql, steps
 from maskwright.sources import adapters as A
 
 QUERIES: dict = {}
@@ -247,6 +247,31 @@ def detection_json_round_trip(spark, sf):
     return labels.from_json(labels.to_json(det(spark, sf)))
 
 
+@query(LAB + " SELECT video_id, frame_no, box_idx, class_id, cx, cy, bw, bh FROM par WHERE status = 'ok' UNION ALL SELECT video_id || '_' || frame_no, frame_no, box_idx, class_id, cx, cy, bw, bh FROM par WHERE status = 'ok'")
+def face_labels(spark, sf):
+    return labels.face_detections(A.label_lines(spark, sf))
+
+
+@query(DET + ", s AS (SELECT *, y1 / 950 AS score, CASE WHEN box_idx % 2 = 0 THEN 'primary' ELSE 'secondary' END AS pass_name FROM det) SELECT video_id, frame_no, box_idx, pass_name, round(score, 6) AS score FROM s WHERE score >= CASE pass_name WHEN 'primary' THEN 0.18::DOUBLE ELSE 0.1::DOUBLE END")
+def confident_detections(spark, sf):
+    cfg = config.configure(config.CAR_PLATES, secondary=True)
+    passes = spark.createDataFrame([(p["pass_name"], p["conf"]) for p in sharding.detection_passes(cfg)], "pass_name string, conf double")
+    scored = det(spark, sf).withColumns({"score": F.col("y1") / 950, "pass_name": F.when(F.col("box_idx") % 2 == 0, "primary").otherwise("secondary")})
+    return labels.confident(scored, passes).select("video_id", "frame_no", "box_idx", "pass_name", r6(F.col("score"), "score"))
+
+
+@query("WITH filled AS (" + _FACE_SQL.format(win=5, cols="0, 0, 0, 0") + ") SELECT video_id, count(DISTINCT frame_no) AS frames, count_if(origin = 'detected')::BIGINT AS detected, count_if(origin = 'filled')::BIGINT AS filled, count(DISTINCT frame_no) FILTER (WHERE origin = 'detected') AS frames_detected, count(DISTINCT frame_no) FILTER (WHERE origin = 'filled') AS frames_filled FROM filled GROUP BY video_id")
+def run_counts(spark, sf):
+    return labels.run_counts(temporal.fill_face_gaps(det(spark, sf), 5))
+
+
+@query(DET + " SELECT video_id, max(frame_no)::BIGINT AS frames, count(DISTINCT frame_no) AS frames_with_regions FROM det GROUP BY video_id")
+def frame_counts(spark, sf):
+    d = det(spark, sf)
+    frames = d.groupBy("video_id").agg(F.max("frame_no").alias("m")).select("video_id", F.explode(F.sequence(F.lit(1), F.col("m"))).alias("frame_no"))
+    return labels.frame_counts(frames, d)
+
+
 _SIM = """CASE WHEN len(list_filter(acc, lambda e:
  (CASE WHEN greatest(0.0, least(e.x2, c.x2) - greatest(e.x1, c.x1)) * greatest(0.0, least(e.y2, c.y2) - greatest(e.y1, c.y1)) > 0 THEN greatest(0.0, least(e.x2, c.x2) - greatest(e.x1, c.x1)) * greatest(0.0, least(e.y2, c.y2) - greatest(e.y1, c.y1)) /
  ((e.x2 - e.x1) * (e.y2 - e.y1) + (c.x2 - c.x1) * (c.y2 - c.y1) - greatest(0.0, least(e.x2, c.x2) - greatest(e.x1, c.x1)) * greatest(0.0, least(e.y2, c.y2) - greatest(e.y1, c.y1))) ELSE 0.0 END) >= 0.4
@@ -467,6 +492,42 @@ def overlay_jobs(spark, sf):
     return steps.overlay_jobs(v, m, c, config.OverlayConfig()).drop("scaled", "path")
 
 
+_GRAPHS = ORACLES["overlay_jobs"]
+
+
+@query(_GRAPHS.replace("SELECT j.video_id, j.camera_id, filter_graph, j.stem || '_masked' || j.ext AS output_name,", "SELECT j.video_id, (SELECT path FROM vid WHERE vid.video_id = j.video_id) AS path, filter_graph, j.stem || '_masked' || j.ext AS output_name,").replace("SELECT j.video_id, (", "SELECT video_id, 'ffmpeg -hide_banner -loglevel error -y -i ' || path || ' -filter_complex ' || filter_graph || ' -map ' || CASE WHEN filter_graph LIKE '%[vpreview]' THEN '[vpreview]' ELSE '[vout]' END || ' -map 0:a? -c:v libx264 -preset veryfast -crf 18 -pix_fmt yuv420p -c:a copy -movflags +faststart ' || output_name AS with_audio, 'ffmpeg -hide_banner -loglevel error -n -i ' || path || ' -filter_complex ' || filter_graph || ' -map ' || CASE WHEN filter_graph LIKE '%[vpreview]' THEN '[vpreview]' ELSE '[vout]' END || ' -c:v libx264 -preset veryfast -crf 18 -pix_fmt yuv420p -an -movflags +faststart ' || output_name AS without_audio FROM (SELECT j.video_id, (") + ") WHERE status = 'masked'")
+def mask_arguments(spark, sf):
+    """Calls of the encoder for all masked videos, and those to try next without audio."""
+    v, c = A.videos(spark, sf), A.cameras(spark, sf)
+    m = v.join(F.broadcast(c.select("camera_id", "camera_no")), F.col("group_id") == F.col("camera_no")).select("video_id", "camera_id")
+    jobs = steps.overlay_jobs(v, m, c, config.OverlayConfig()).filter("status = 'masked'")
+    call = lambda **how: F.array_join(commands.mask(F.col("path"), F.col("filter_graph"), F.col("output_name"), **how), " ")
+    return jobs.select("video_id", call().alias("with_audio"), call(overwrite=False, audio=False).alias("without_audio"))
+
+
+@query(VID + """, r AS (SELECT *, try_cast(string_split(r_frame_rate, '/')[1] AS DOUBLE) AS a, try_cast(coalesce(string_split(r_frame_rate, '/')[2], '1') AS DOUBLE) AS b FROM fil),
+q AS (SELECT *, coalesce(CASE WHEN b <> 0 AND a / b > 0 THEN a / b END, 25.0::DOUBLE) AS fps, CASE WHEN video_id LIKE '%0' THEN 2.5::DOUBLE ELSE 0.0::DOUBLE END AS seconds FROM r)
+SELECT video_id, 'ffmpeg -i ' || path || ' -vf fps=' || fps || ' -q:v 2' || CASE WHEN seconds > 0 THEN ' -t ' || seconds ELSE '' END || ' -y /frames/' || video_id || '_%06d.jpg' AS extract,
+ 'ffmpeg -y -framerate ' || fps || ' -i /frames/' || video_id || '_%06d.jpg -c:v libx264 -pix_fmt yuv420p -crf 23 -preset medium /out/' || video_id || '.mp4' AS encode,
+ 'ffmpeg -hide_banner -loglevel error -y -i /tmp/' || video_id || '.avi -c:v libx264 -preset veryfast -crf 18 -pix_fmt yuv420p -movflags +faststart /out/' || video_id || '.mp4' AS transcode FROM q""")
+def frame_arguments(spark, sf):
+    """Calls that take videos apart into frames, put frames together, and turn intermediate videos into final ones."""
+    v = A.videos(spark, sf).withColumn("fps", F.coalesce(N.frame_rate(F.col("r_frame_rate")), F.lit(25.0)))
+    name = lambda *parts: F.concat(*[F.lit(p) if p.startswith("/") or p.startswith(".") or p.startswith("_") else F.col(p) for p in parts])
+    seconds = F.when(F.col("video_id").endswith("0"), 2.5).otherwise(0.0)
+    frames, out = name("/frames/", "video_id", "_%06d.jpg"), name("/out/", "video_id", ".mp4")
+    calls = {"extract": commands.extract_frames(F.col("path"), F.col("fps"), frames, seconds), "encode": commands.encode_frames(frames, F.col("fps"), out), "transcode": commands.transcode(name("/tmp/", "video_id", ".avi"), out)}
+    return v.select("video_id", *[F.array_join(c, " ").alias(n) for n, c in calls.items()])
+
+
+@query("WITH RECURSIVE " + _LINKS + ", " + A.DETECTIONS_SQL + """, b AS (SELECT 'v' || video_id AS video_id, frame_no, box_idx FROM (""" + ORACLES["blur_rectangles"].replace("FROM det)))", "FROM det WHERE class_id % 3 = 0)))") + """)),
+n AS (SELECT video_id, count(*)::BIGINT AS rectangles, count(DISTINCT frame_no)::BIGINT AS frames FROM b GROUP BY video_id)
+SELECT video_id, coalesce(rectangles, 0)::BIGINT AS rectangles, coalesce(frames, 0)::BIGINT AS frames, CASE WHEN rectangles > 0 THEN 'blurred' ELSE 'passthrough' END AS status, name AS output_name FROM fil LEFT JOIN n USING (video_id)""")
+def plate_outputs(spark, sf):
+    rectangles = steps.blur_plan(A.step_detections(spark, sf, 1), config.CAR_PLATES, W, H)
+    return steps.plate_outputs(A.videos(spark, sf), rectangles).drop("path")
+
+
 @query("WITH " + _LINKS + " SELECT video_id, path FROM vid WHERE NOT EXISTS (SELECT 1 FROM cam WHERE camera_no = group_id)")
 def unmatched_videos(spark, sf):
     v, c = A.videos(spark, sf), A.cameras(spark, sf)

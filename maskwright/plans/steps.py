@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskwright.config import CAR_PLATES, TRUCK_PLATES, FaceConfig, OverlayConfig, PlateConfig
@@ -56,12 +56,11 @@ def overlay_jobs(videos: DataFrame, matches: DataFrame, cameras: DataFrame, cfg,
     )
 
 
-def encode_command(tool: str, overwrite: bool = True) -> Column:
-    """Arguments of the encoder for a masked job of overlay_jobs(): audio is copied, the graph's last label mapped."""
-    label = F.when(F.col("filter_graph").endswith("[vpreview]"), "[vpreview]").otherwise("[vout]")
-    parts = [tool, "-hide_banner", "-loglevel", "error", "-y" if overwrite else "-n", "-i", F.col("path"), "-filter_complex", F.col("filter_graph"), "-map", label, "-map", "0:a?"]
-    parts += ["-c:v", "libx264", "-preset", "veryfast", "-crf", "18", "-pix_fmt", "yuv420p", "-c:a", "copy", "-movflags", "+faststart", F.col("output_name")]
-    return F.array(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+def plate_outputs(videos: DataFrame, rectangles: DataFrame) -> DataFrame:
+    """What becomes of every video in a plate step: blurred with so many rectangles, or passed through."""
+    n = rectangles.groupBy("video_id").agg(F.count("*").alias("rectangles"), F.countDistinct("frame_no").alias("frames"))
+    j = videos.select("video_id", "path").join(n, "video_id", "left").withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("rectangles", "frames")})
+    return j.withColumns({"status": F.when(F.col("rectangles") > 0, "blurred").otherwise("passthrough"), "output_name": N.file_name(F.col("path"))})
 
 
 def run_steps(steps: list[Step], start: int = 1, keep: Callable[[int, DataFrame], DataFrame] | None = None) -> DataFrame:

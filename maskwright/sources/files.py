@@ -68,3 +68,14 @@ def write_json(regions: DataFrame, path: str) -> None:
 def only_missing(videos: DataFrame, done: DataFrame, overwrite: bool = False) -> DataFrame:
     """Videos without an output of more than 0 bytes."""
     return videos if overwrite else videos.join(done.filter("length > 0").select("video_id"), "video_id", "left_anti")
+
+
+def clear_steps(spark: SparkSession, root: str, tag: str, start: int = 1) -> list[str]:
+    """Delete the output folders of the steps from `start` on; gives those that were there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = []
+    for step in range(start, 5):
+        path = jvm.org.apache.hadoop.fs.Path(root, N.step_folder(step, tag))
+        if path.getFileSystem(conf).delete(path, True):
+            gone.append(path.getName())
+    return gone

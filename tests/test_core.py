@@ -380,3 +380,31 @@ def test_stream_equals_batch(spark, tmp_path):
     got = {(r["video_id"], r["frame_no"], r["x1"]) for r in spark.table("filled").collect()}
     batch = temporal.temporal_folds(spark.createDataFrame(rows, schema), CFG, ("fill",))
     assert got == {(r["video_id"], r["frame_no"], r["x1"]) for r in batch.collect()}
+
+
+def test_outputs_on_files(spark, tmp_path):
+    from maskwright.sources import files
+
+    for step in ("step1_plate_a", "step2_truck_a", "step3_osd_a", "step3_osd_b"):
+        (tmp_path / step).mkdir()
+        (tmp_path / step / "x.mp4").write_bytes(b"1")
+    assert files.clear_steps(spark, str(tmp_path), "_a", 2) == ["step2_truck_a", "step3_osd_a"]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["step1_plate_a", "step3_osd_b"]
+    regions = spark.createDataFrame([("v", f, 0, 1.0, 2.0, 3.0, 4.0) for f in (3, 1, 2)], "video_id string, frame_no int, box_idx int, x1 double, y1 double, x2 double, y2 double")
+    files.write_regions(regions, str(tmp_path / "regions"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "regions")).collect())) == sorted(map(tuple, regions.collect()))
+    files.write_json(regions, str(tmp_path / "json"))
+    assert spark.read.json(str(tmp_path / "json")).count() == 1
+    cams = tmp_path / "cams"
+    cams.mkdir()
+    for name in ("7.png", "7.jpg", "8.bmp", "8.json", "9.txt"):
+        (cams / name).write_bytes(name.encode())
+    assert sorted((r["camera_id"], bytes(r["content"])) for r in files.camera_images(spark, str(cams)).collect()) == [("7", b"7.jpg"), ("8", b"8.bmp")]
+    videos = spark.createDataFrame([("a",), ("b",), ("c",)], "video_id string")
+    done = spark.createDataFrame([("a", 5), ("b", 0)], "video_id string, length int")
+    assert sorted(r[0] for r in files.only_missing(videos, done).collect()) == ["b", "c"]
+    assert files.only_missing(videos, done, overwrite=True).count() == 3
+    one = tmp_path / "one.mp4"
+    one.write_bytes(b"x")
+    assert [r["video_id"] for r in files.scan_videos(spark, str(one)).collect()] == ["one"]
+    assert sharding.workers(8, 4, 3) == 3 and sharding.workers(0, 4, 3) == 1 and sharding.workers(2, 0, 3) == 1
