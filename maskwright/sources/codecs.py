@@ -10,8 +10,11 @@ import shutil
 from collections.abc import Iterable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from maskwright.session import ship_package
 
@@ -122,3 +125,49 @@ def encode(frames: DataFrame, encoder: Encoder, out_dir: str, fps: float, suffix
 
     ordered = frames.repartition("video_id").sortWithinPartitions("video_id", "frame_no")
     return ordered.select("video_id", "frame_no", "height", "width", "channels", "pixels").mapInPandas(run, f"video_id {kind}, path string, frames int, status string")
+
+
+def redact(videos: DataFrame, rectangles: DataFrame, decoder: Decoder, encoder: Encoder, out_dir: str, fps: float = 25.0, suffix: str = ".mp4") -> DataFrame:
+    """videos(video_id, path, last_frame) decoded, blurred and encoded in one task per video: (video_id, path, frames, status).
+
+    rectangles(video_id, frame_no, x1, y1, x2, y2, kernel) come to the videos, so no pixel is shuffled;
+    those without a frame number hold for every frame. Frames stream from the decoder to the encoder. A
+    video without rectangles has status "passthrough" and keeps its path; one that fails, "failed".
+    """
+    from maskwright.functions import images
+
+    ship_package(videos.sparkSession)
+    kind = videos.schema["video_id"].dataType.simpleString()
+    each = F.struct(F.coalesce("frame_no", F.lit(0)).alias("f"), "x1", "y1", "x2", "y2", F.col("kernel").cast("int").alias("k"))
+    packed = rectangles.groupBy("video_id").agg(F.sort_array(F.collect_list(each)).alias("rects"))
+    jobs = videos.select("video_id", "path", "last_frame").join(packed, "video_id", "left")
+
+    def blurred(path, last, rects):
+        by: dict[int, list] = {}
+        for r in rects:
+            by.setdefault(r["f"], []).append(r)
+        for frame, h, w, c, pixels in decoder(path, last):
+            if last is not None and frame > last:
+                return
+            mine = [*by.get(0, []), *by.get(frame, [])]
+            if mine:
+                img = np.frombuffer(pixels, np.uint8).reshape((h, w, c) if c > 1 else (h, w))
+                for r in mine:
+                    img = images.blur_in_place(img, [(r["x1"], r["y1"], r["x2"], r["y2"])], r["k"])
+                pixels = img.tobytes()
+            yield frame, h, w, c, pixels
+
+    def run(batches):
+        for batch in batches:
+            for video, path, last, rects in zip(*(batch.column(n).to_pylist() for n in ("video_id", "path", "last_frame", "rects"))):
+                out, n, status = f"{out_dir}/{video}{suffix}", 0, "ok"
+                if not rects:
+                    out, status = path, "passthrough"
+                else:
+                    try:
+                        n = encoder(out, blurred(path, last, rects), fps)
+                    except Exception:
+                        status = "failed"
+                yield pa.RecordBatch.from_arrays([pa.array([video], batch.schema.field("video_id").type), pa.array([out]), pa.array([n], pa.int32()), pa.array([status])], ["video_id", "path", "frames", "status"])
+
+    return jobs.mapInArrow(run, f"video_id {kind}, path string, frames int, status string")

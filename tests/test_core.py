@@ -408,3 +408,32 @@ def test_outputs_on_files(spark, tmp_path):
     one.write_bytes(b"x")
     assert [r["video_id"] for r in files.scan_videos(spark, str(one)).collect()] == ["one"]
     assert sharding.workers(8, 4, 3) == 3 and sharding.workers(0, 4, 3) == 1 and sharding.workers(2, 0, 3) == 1
+
+
+def test_redact_in_one_task(spark, tmp_path):
+    def decoder(path, last):
+        if path == "bad":
+            raise OSError(path)
+        for f in range(1, 5):
+            yield f, 8, 8, 1, bytes(range(64)) if path == "plain" else bytes(64 * [f]) + b""
+
+    def encoder(path, frames, fps):
+        n = 0
+        with open(f"{path}.txt", "w") as out:
+            for frame, h, w, c, pixels in frames:
+                n += 1
+                out.write(f"{frame} {pixels.hex()}\n")
+        return n
+
+    videos = spark.createDataFrame([(1, "plain", 3), (2, "bad", None), (3, "none", None)], "video_id int, path string, last_frame int")
+    rects = spark.createDataFrame([(1, 2, 0, 0, 4, 4, 3), (1, None, 4, 4, 8, 8, 5), (2, 1, 0, 0, 4, 4, 3)], "video_id int, frame_no int, x1 int, y1 int, x2 int, y2 int, kernel int")
+    got = {r["video_id"]: (r["path"], r["frames"], r["status"]) for r in codecs.redact(videos, rects, decoder, encoder, str(tmp_path)).collect()}
+    assert got == {1: (f"{tmp_path}/1.mp4", 3, "ok"), 2: (f"{tmp_path}/2.mp4", 0, "failed"), 3: ("none", 0, "passthrough")}
+    from maskwright.functions import images
+
+    img = np.frombuffer(bytes(range(64)), np.uint8).reshape(8, 8)
+    lines = [x.split() for x in (tmp_path / "1.mp4.txt").read_text().splitlines()]
+    for frame, pixels in lines:
+        want = images.blur_in_place(img, [(4, 4, 8, 8)], 5)
+        want = images.blur_in_place(want, [(0, 0, 4, 4)], 3) if frame == "2" else want
+        assert bytes.fromhex(pixels) == want.tobytes()
