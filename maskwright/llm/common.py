@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir; in local mode a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="mw-shared-")
         spark.sparkContext.setCheckpointDir(found)
@@ -54,7 +54,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 #: Seconds between two calls of tidy() that do something.
-TIDY_EVERY = 2.0
+TIDY_EVERY = 1.0
 _tidied = 0.0
 
 

@@ -398,15 +398,15 @@ def _links_of(sets: DataFrame) -> DataFrame:
             pivots = large.filter(drawn).select("region", F.col("x").alias("p"))
             cells = held(large.select("region", "x").join(pivots, "region").filter("x <> p"))
             dist = held(_distances(cells.select("x", "p").distinct(), sets))
-            cells = cells.join(dist.select("x", "p", "d", "n"), ["x", "p"])
+            cells = held(cells.join(dist.select("x", "p", "d", "n"), ["x", "p"]))
             more.append(dist.filter("link").select("x", "p"))
             home = cells.groupBy("region", "x").agg(F.min(F.struct("d", "p")).alias("home"))
             cells = cells.join(home, ["region", "x"]).join(pivots.select("region", F.col("p").alias("x")), ["region", "x"], "left_anti")
             mine = F.col("p") == F.col("home.p")
             window = (F.col("p") < F.col("home.p")) & (F.col("d") <= F.col("home.d") + 2 * E + 1e-9)
-            split = cells.filter(mine | window)
+            split = held(cells.filter(mine | window))
             grown = split.groupBy("region").agg(F.count("*").alias("cells"), F.countDistinct("x").alias("was"))
-            split = split.join(grown, "region")
+            split = split.join(held(grown), "region")
             # a region that its cells don't divide stays one region, less its pivots
             child = split.filter("cells <= 2 * was").select(F.xxhash64("region", "p").alias("region"), "x", "d", "n")
             whole = split.filter("cells > 2 * was").filter(mine).join(pivots.groupBy("region").agg(F.min("p").alias("one")), "region")

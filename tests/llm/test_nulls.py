@@ -4,7 +4,13 @@ import pytest
 
 from maskwright.llm import bpe, jaccard, licenses, mixing, neardup, quality, queries, spotsigs, suffixes, toxicity
 
-P = pytest.importorskip("public_tokenizers")
+
+
+def encode(docs):
+    tokenizers = pytest.importorskip("public_tokenizers")
+    return bpe.encode_decode(docs, tokenizers.path(queries.BPE_RANKS), tokenizers.PATTERN)
+
+
 ROWS = [(None, None, None, None, None, 1), (None, "some text of it", None, "s", 3, 1), (None, "some text of it", None, "s", 3, 1), (4, None, "en", "s", 0, 1), (4, "x " * 400, "en", None, 800, 1), (4, "x " * 400, "en", None, 800, 1), (5, "y " * 300, "de", "s", 600, 1), (6, "", "de", "s", 0, 1)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h int"
 
@@ -20,7 +26,7 @@ def docs(spark):
         jaccard.similarity_classes,
         suffixes.repeat_digests,
         mixing.mix_plan,
-        lambda d: bpe.encode_decode(d, P.path(queries.BPE_RANKS), P.PATTERN),
+        encode,
         spotsigs.compare_edited,
         licenses.scan,
         suffixes.remove_repeats,
@@ -28,6 +34,7 @@ def docs(spark):
 )
 def test_every_row_has_a_result(docs, run):
     assert run(docs).count() == len(ROWS)
+    assert run(docs.limit(0)).count() == 0
 
 
 def test_models_with_nulls(spark, docs):

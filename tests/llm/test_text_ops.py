@@ -10,22 +10,24 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from maskwright.llm import bpe, chat, licenses, mixing, queries, spotsigs, textmodel, toxicity
+from maskwright.llm import bpe, chat, licenses, mixing, queries, spotsigs, suffixes, textmodel, toxicity
 from maskwright.llm.quality import PairwiseRanker
 from maskwright.llm.toxicity import ToxicityNet
 
-P = pytest.importorskip("public_tokenizers")
+@pytest.fixture(scope="module")
+def P():
+    return pytest.importorskip("public_tokenizers")
 
 
 @pytest.fixture(scope="module")
-def reference_encoder():
+def reference_encoder(P):
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path(queries.BPE_RANKS), "rb"))}
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def test_bpe_equals_reference(spark, reference_encoder):
+def test_bpe_equals_reference(spark, reference_encoder, P):
     rng = random.Random(1)
     bits = ["a", "the", "ing", " ", "é", "ß", "漢", "😀", "\n", "  ", "'s", "1", "!!", "aaaa", "Ω", "<|endoftext|>", "tionth", "erhe"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(400)] + [None, "", "ab" * 20000]
@@ -289,6 +291,56 @@ def test_pipeline_columns(spark):
     assert re.fullmatch(r"\w+", name)
 
 
+def test_pipeline_against_brute_force(spark, sf_dir, reference_encoder):
+    """Every stage on what the one before kept, held against plain Python; run() gives the same rows."""
+    from collections import Counter
+
+    import corpus_pipeline
+    from maskwright.llm.common import cut, table
+    from tests.llm.test_pairs import Forest, brute_repeats, kept_bytes
+
+    docs = table(spark, sf_dir, "documents")
+    tables = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        tables.append(cut(stage(spark, tables[-1], sf_dir)))
+    given, clean, one, cut_, mixed = ([tuple(r) for r in t.collect()] for t in tables[:5])
+    key = lambda r: repr(r)
+
+    net = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scores = net.score(textmodel.as_column([r[1] for r in given]))
+    limits = net.thresholds
+    assert sorted(clean, key=key) == sorted((r for r, s in zip(given, scores) if s < limits.get(r[2], limits[None])), key=key)
+
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets, forest = {}, Forest()
+    for r in clean:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (r[1] or "").translate(lower))
+        sets[r[0]] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) > 0:
+                forest.join(a, b)
+    roots = {i: forest.find(i) for i in sets}
+    least = {root: min(i for i in roots if roots[i] == root) for root in set(roots.values())}
+    assert sorted(one, key=key) == sorted((r for r in clean if least[roots[r[0]]] == r[0]), key=key)
+
+    raw, gone = brute_repeats([r[1] for r in one], suffixes.PASSAGE)
+    left = [(r[0], k.decode("utf-8", "ignore")) for r, k in zip(one, kept_bytes(raw, gone))]
+    assert sorted((r[0], r[1] or "") for r in cut_) == sorted(left)
+    assert all(r[4] == len(r[1] or "") for r in cut_)
+
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix_plan(tables[3]).collect()}
+    assert Counter(mixed) == Counter({r: copies[r[0]] for r in cut_ if copies[r[0]]})
+
+    done = tables[5].collect()
+    texts = {r[0]: r[1] or "" for r in mixed}
+    assert Counter(r["doc_id"] for r in done) == Counter(r[0] for r in mixed)
+    for r in done:
+        ids = reference_encoder.encode_ordinary(texts[r["doc_id"]])
+        assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+    assert Counter(map(repr, corpus_pipeline.run(spark, sf_dir).collect())) == Counter(map(repr, done))
+
+
 @pytest.mark.parametrize("name", ["op1_ngram_jaccard", "op2_embedding_neardup", "op3_suffix_dedup", "op5_mixing", "op7_chat_format", "op10_license_scan"])
 def test_queries_equal_their_sql(spark, sf_dir, name):
     import duckdb
