@@ -349,7 +349,8 @@ def similarity_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     # classes back to documents: the least doc_id stands for a class
-    classes = found.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+    # (a table of its own, so that Spark can split the joins at classes of many copies or links)
+    classes = cut(found.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep")))
     a = classes.select(F.col("set_id").alias("x"), F.col("rep").alias("a"))
     b = classes.select(F.col("set_id").alias("p"), F.col("rep").alias("b"))
     comp = components(links.join(a, "x").join(b, "p").select("a", "b"))
