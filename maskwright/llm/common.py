@@ -63,13 +63,15 @@ def tidy(spark: SparkSession) -> None:
 
     Shuffle files and broadcasts that nothing needs any more stay until the driver's JVM happens to
     collect its garbage, and what its many threads have freed stays with them: a job of hundreds of
-    stages would fill disks and the driver's memory with them.
+    stages would fill disks and the driver's memory with them. Nothing is done while the driver's
+    heap is below a quarter of what it may take.
     """
     global _tidied
-    if time.monotonic() - _tidied < TIDY_EVERY:
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    heap = jvm.Runtime.getRuntime()
+    if time.monotonic() - _tidied < TIDY_EVERY or heap.totalMemory() < heap.maxMemory() // 4:
         return
     gc.collect()
-    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     jvm.System.gc()
     with contextlib.suppress(Exception):  # other JVMs have no such command
         call = next(m for m in jvm.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
