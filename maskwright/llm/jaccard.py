@@ -388,7 +388,7 @@ def _links_of(sets: DataFrame) -> DataFrame:
         comp = components(links.select(F.col("x").alias("a"), F.col("p").alias("b")))
         labelled = members.join(comp.withColumnRenamed("id", "x"), "x", "left").withColumn("comp", F.coalesce("component", "x")).drop("component")
         active = held(_in_windows(labelled))
-        active = active.join(held(active.groupBy("region").agg(F.count("*").alias("size"))), "region")
+        active = active.join(active.groupBy("region").agg(F.count("*").alias("size")), "region")
         small = active if turn == ROUNDS else active.filter(F.col("size") <= OUTRIGHT)
         more = [_joined_outright(small.select("region", "x", "comp", "d"), sets)]
         large = active.filter(F.col("size") > OUTRIGHT) if turn < ROUNDS else None
@@ -407,7 +407,7 @@ def _links_of(sets: DataFrame) -> DataFrame:
             window = (F.col("p") < F.col("home.p")) & (F.col("d") <= F.col("home.d") + 2 * E + 1e-9)
             split = held(cells.filter(mine | window))
             grown = split.groupBy("region").agg(F.count("*").alias("cells"), F.countDistinct("x").alias("was"))
-            split = split.join(held(grown), "region")
+            split = split.join(grown, "region")
             # a region that its cells don't divide stays one region, less its pivots
             child = split.filter("cells <= 2 * was").select(F.xxhash64("region", "p").alias("region"), "x", "d", "n")
             whole = split.filter("cells > 2 * was").filter(mine).join(pivots.groupBy("region").agg(F.min("p").alias("one")), "region")
