@@ -1,4 +1,4 @@
-"""What the two text models share: labelled rows, hashed words, scoring over whole tables."""
+"""What the two text models share: folds, hashed words, scoring over whole tables; and the bounded fit of the toxicity model."""
 
 from __future__ import annotations
 
@@ -72,8 +72,8 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return span_hash(prefix_hash(data, _LOWER), starts, ends), starts, ends, first
 
 
-def score_table(docs: DataFrame, score, modulus: int, held_out: int, threshold: float) -> DataFrame:
-    """doc_id, held_out, score, predicted; score(Arrow strings) gives a number from 0 to 1 per text."""
+def score_table(docs: DataFrame, score, modulus: int, held_out: int, threshold: float, column: str = "text") -> DataFrame:
+    """doc_id, held_out, score, predicted; score(Arrow column) gives a number from 0 to 1 per text, or per value of the given column."""
 
     def run(batches):
         for batch in batches:
@@ -81,7 +81,7 @@ def score_table(docs: DataFrame, score, modulus: int, held_out: int, threshold:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())], ["doc_id", "score", "predicted"])
         release()
 
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), column).mapInArrow(run, "doc_id long, score double, predicted int")
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), modulus) == held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
