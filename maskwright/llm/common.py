@@ -140,7 +140,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 def prefix_hash(data: np.ndarray, lut: np.ndarray = _BYTE) -> np.ndarray:
     """Prefix sums with which the hash of any span follows from two entries."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(lut[data] * powers(_BASE, len(data)), out=out[1:])
+    np.multiply(lut[data], powers(_BASE, len(data)), out=out[1:])
+    np.cumsum(out[1:], out=out[1:])
     return out
 
 

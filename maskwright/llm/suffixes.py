@@ -47,6 +47,8 @@ GRAM = 64
 BUFFER = 400_000
 BATCH = 1_600_000
 STEP = 32
+#: Neighbours whose prefixes are compared in one go.
+CHUNK = 1 << 16
 _END = 255  # never part of UTF-8
 
 
@@ -59,35 +61,46 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH, wanted: np.ndarray | Non
     With a mask of wanted starts, only those are ordered, and the suffixes from which they're induced.
     """
     n = len(data)
+    kind = np.int32 if n < 2**30 else np.int64  # places take most of the memory here
     if n == 0:
-        return np.empty(0, np.int64)
+        return np.empty(0, kind)
     # a suffix is smaller than its successor if the next different byte is larger; the last one isn't
     # (the end counts as smaller than any byte)
-    change = np.flatnonzero(data[1:] != data[:-1])
-    rising = data[change + 1] > data[change]
+    change = np.flatnonzero(data[1:] != data[:-1]).astype(kind)
     small = np.zeros(n, bool)
     if len(change):
-        small[: change[-1] + 1] = np.repeat(rising, np.diff(change, prepend=-1))
+        rising = (data[1:] > data[:-1])[change]
+        small[: change[-1] + 1] = np.repeat(rising, np.diff(change, prepend=kind(-1)))
+    del change
     if wanted is None:
         needed = np.ones(n, bool)
     else:  # a larger suffix follows from its successor, and so on up to the next smaller one
-        at = np.arange(n)
         ends = np.flatnonzero(wanted & ~np.append(wanted[1:], False))
-        following = np.minimum.accumulate(np.where(small, at, n - 1)[::-1])[::-1]
-        steps = np.zeros(n + 1, np.int64)
+        smaller = np.append(np.flatnonzero(small), n - 1).astype(kind)
+        following = smaller[np.searchsorted(smaller[:-1], ends)]
+        steps = np.zeros(n + 1, kind)
         np.add.at(steps, ends, 1)
-        np.add.at(steps, following[ends] + 1, -1)
-        needed = wanted | (np.cumsum(steps[:n]) > 0)
-    direct = np.flatnonzero(small & needed)
+        np.add.at(steps, following + 1, -1)
+        needed = wanted | (np.cumsum(steps, out=steps)[:n] > 0)
+        del ends, smaller, following, steps
+    direct = np.flatnonzero(small & needed).astype(kind)
     raw = data.tobytes()
-    direct = np.array(sorted(direct.tolist(), key=lambda i: raw[i : i + depth]), np.int64)
+    # by two bytes first, so that the long keys of few suffixes at a time are held (the last suffix isn't among them)
+    two = data[direct].astype(np.uint16) << 8 | data[direct + 1]
+    by_two = np.argsort(two, kind="stable").astype(kind)
+    direct, two = direct[by_two], two[by_two]
+    cuts = [0, *(np.flatnonzero(two[1:] != two[:-1]) + 1).tolist(), len(direct)]
+    del two, by_two
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if b - a > 1:
+            direct[a:b] = sorted(direct[a:b].tolist(), key=lambda i: raw[i : i + depth])
     # buckets by first byte: first the induced suffixes, then the sorted ones
     sorted_in = np.split(direct, np.searchsorted(data[direct], np.arange(1, 256)))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
     if needed[n - 1]:
-        induced[data[n - 1]].append(np.array([n - 1]))  # the smallest suffix of its bucket
+        induced[data[n - 1]].append(np.array([n - 1], kind))  # the smallest suffix of its bucket
     large = needed & ~small
-    out = [np.empty(0, np.int64)]
+    out = [np.empty(0, kind)]
 
     def induce(found: np.ndarray) -> np.ndarray:
         """Puts the larger predecessors of these suffixes into their buckets; gives those of the same bucket."""
@@ -97,7 +110,7 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH, wanted: np.ndarray | Non
         order = np.argsort(first, kind="stable")
         before, first = before[order], first[order]
         cuts = np.flatnonzero(np.diff(first)) + 1
-        same = np.empty(0, np.int64)
+        same = np.empty(0, kind)
         if len(before):
             for part in np.split(before, cuts):
                 if data[part[0]] == now:
@@ -107,7 +120,7 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH, wanted: np.ndarray | Non
         return same
 
     for now in range(256):
-        wave = np.concatenate(induced[now]) if induced[now] else np.empty(0, np.int64)
+        wave = np.concatenate(induced[now]) if induced[now] else np.empty(0, kind)
         while len(wave):  # runs of one byte induce within their bucket
             out.append(wave)
             wave = induce(wave)
@@ -126,8 +139,13 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, lengths: tuple[int, ...
     prefix = prefix_hash(np.concatenate([data, np.full(longest, _END, np.uint8)]))
     a, b = order[1:], order[:-1]
     inverse = powers(_BASE_INV, len(prefix))
-    ia, ib, pa_, pb = inverse[a], inverse[b], prefix[a], prefix[b]
-    return [np.append(False, (prefix[a + k] - pa_) * ia == (prefix[b + k] - pb) * ib)[: len(order)] for k in lengths]
+    out = [np.zeros(len(order), bool) for _ in lengths]
+    for at in range(0, len(a), CHUNK):
+        a_, b_ = a[at : at + CHUNK], b[at : at + CHUNK]
+        ia, ib, pa_, pb = inverse[a_], inverse[b_], prefix[a_], prefix[b_]
+        for same, k in zip(out, lengths):
+            same[at + 1 : at + 1 + len(a_)] = (prefix[a_ + k] - pa_) * ia == (prefix[b_ + k] - pb) * ib
+    return out
 
 
 def repeated_starts(contents: list[bytes], lengths: tuple[int, ...] = (LENGTH,), counts: list[int] | None = None) -> list[list[np.ndarray]]:
@@ -139,10 +157,11 @@ def repeated_starts(contents: list[bytes], lengths: tuple[int, ...] = (LENGTH,),
         counts = [max(0, len(c) - min(lengths) + 1) for c in contents]
     data = np.frombuffer(b"".join(c + bytes([_END]) for c in contents), np.uint8)
     begins = np.cumsum([0] + [len(c) + 1 for c in contents])
-    steps = np.zeros(len(data) + 1, np.int64)
+    steps = np.zeros(len(data) + 1, np.int32)  # no more than one content's starts at a time
     np.add.at(steps, begins[:-1], 1)
     np.add.at(steps, begins[:-1] + np.array(counts, np.int64), -1)
-    wanted = np.cumsum(steps[:-1]) > 0
+    wanted = np.cumsum(steps, out=steps)[:-1] > 0
+    del steps
     order = suffix_array(data, max(lengths), wanted)
     order = order[wanted[order]]
     out = []

@@ -216,3 +216,48 @@ def test_suffix_array():
         b = bytes(rng.choice([97, 98, 99, 255, 32]) for _ in range(rng.randint(0, 200))) if k % 3 else (b"ab" * 50 + b"aaaa" * 10 + b"b") * 2
         order = suffixes.suffix_array(np.frombuffer(b, np.uint8), 1000)
         assert order.tolist() == sorted(range(len(b)), key=lambda i: b[i:])
+
+
+def prose(seed, n_bytes):
+    rng = random.Random(seed)
+    vocab = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    return " ".join(rng.choice(vocab) for _ in range(n_bytes // 6)).encode()
+
+
+@pytest.mark.parametrize("lengths", [(suffixes.PASSAGE, suffixes.LENGTH), (suffixes.PASSAGE, suffixes.PASSAGE)])
+def test_sorting_runs_takes_little_memory(lengths):
+    """A batch of runs as large as a task sorts at once: executors run two such tasks beside a heap."""
+    import tracemalloc
+
+    rng, text = random.Random(3), prose(3, 2_000_000)
+    contents, counts = [], []
+    while sum(counts) < 150_000:
+        n = rng.randint(20, 150)
+        a = rng.randrange(len(text) - 600)
+        contents.append(text[a : a + n + max(lengths) - 1])
+        counts.append(n)
+    suffixes.repeated_starts(contents, lengths, counts)  # tables of powers stay
+    tracemalloc.start()
+    try:
+        suffixes.repeated_starts(contents, lengths, counts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 * sum(map(len, contents))
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 16])
+def test_wanted_starts_against_sets(monkeypatch, chunk):
+    from collections import Counter
+
+    monkeypatch.setattr(suffixes, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    for _ in range(60):
+        letters = rng.choice([b"a", b"ab", b"abc\xc3\xa9", b"\x00\x01\xfe"])
+        contents = [bytes(rng.choice(letters) for _ in range(rng.randint(4, 40))) for _ in range(rng.randint(1, 6))]
+        counts = [rng.randint(0, len(c) - 3) for c in contents]
+        found = suffixes.repeated_starts(contents, (4, 6), counts)
+        for length, got in zip((4, 6), found):
+            starts = [[s for s in range(n) if s + length <= len(c)] for c, n in zip(contents, counts)]
+            times = Counter(c[s : s + length] for c, own in zip(contents, starts) for s in own)
+            assert [x.tolist() for x in got] == [[s for s in own if times[c[s : s + length]] > 1] for c, own in zip(contents, starts)]
